@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import decontaminate, packing, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,33 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_warc": op2_warc,
+    "op6_packing": op6_packing,
+    "op7_decontamination": op7_decontamination,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.shard_sql(),
+    "op2_warc": warc.archive_sql(),
+    "op7_decontamination": decontaminate.decontaminate_sql(),
+    "op10_substrings": substrings.dedup_sql(),
 }
