@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, sharding, substrings, warc
+from . import decontaminate, packing, quality, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
+    "op3_quality": op3_quality,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op10_substrings": op10_substrings,
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.shard_sql(),
     "op2_warc": warc.archive_sql(),
+    "op3_quality": quality.quality_sql(),
     "op7_decontamination": decontaminate.decontaminate_sql(),
     "op10_substrings": substrings.dedup_sql(),
 }
