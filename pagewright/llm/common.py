@@ -202,4 +202,60 @@ def worker_broadcast(spark: SparkSession, value):
     return spark.sparkContext.broadcast(value)
 
 
+def rows_inside(filter_, column: str):
+    """For mapInArrow: the rows whose value in a long column passes the filter."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch[column].to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            found = batch.filter(pa.array(in_bitmap(filter_.value, keys.view(U))))
+            if len(found):
+                yield found
+
+    return mapped
+
+
+TEXTS = "doc_id long, text_key long, text string"
+#: Bits of the filters of text keys and document ids.
+KEY_BITS = 24
+
+
+def keyed_texts(documents: DataFrame) -> DataFrame:
+    """doc_id, text_key, text of each row; a null text is empty."""
+    text = text_or_empty(documents)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
+class EqualTexts:
+    """Equal texts of documents with an id, found by two 64-bit hashes; each group's smallest id speaks for it.
+
+    `keys`: doc_id, text_key, key2 of each row. `groups`: text_key, key2, low of texts that two ids or
+    more share. `scan` runs a function over every different text once: texts outside a filter of fixed
+    size are read where they lie, the others come from `firsts`, a table of the groups' first rows.
+    """
+
+    def __init__(self, documents: DataFrame):
+        spark = documents.sparkSession
+        self.docs = keyed_texts(documents.where(F.col("doc_id").isNotNull()))
+        second = F.xxhash64(F.lit("second"), "text").alias("key2")
+        self.keys = self.docs.select("doc_id", "text_key", second)
+        lows = self.keys.groupBy("text_key", "key2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        self.groups = materialise(lows.where("low < high").drop("high"), "equal-texts")
+        self.shared = worker_broadcast(spark, bitmap(self.groups, "text_key", KEY_BITS))
+        maybe = self.docs.mapInArrow(rows_inside(self.shared, "text_key"), TEXTS).withColumn("key2", second)
+        first = maybe.join(self.groups, ["text_key", "key2"], "left").where(F.coalesce(F.col("doc_id") == F.col("low"), F.lit(True)))
+        self.firsts = materialise(first.select("doc_id", "text_key", "text"), "first-texts")
+
+    def scan(self, function, schema: str) -> DataFrame:
+        """function(skip) makes a mapInArrow function over doc_id, text_key, text that leaves out rows inside skip."""
+        return self.docs.mapInArrow(function(self.shared), schema).unionAll(self.firsts.mapInArrow(function(None), schema))
+
+
+def counted_rows(batch: pa.RecordBatch, skip) -> pa.RecordBatch:
+    """The rows of a batch that lie outside the filter."""
+    if skip is None:
+        return batch
+    return batch.filter(pa.array(~in_bitmap(skip.value, batch["text_key"].to_numpy().view(U))))
+
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, sharding, substrings, warc
+from . import decontaminate, neardup, packing, quality, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.dedup_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_substrings": op10_substrings,
 }
 
