@@ -37,7 +37,10 @@ END = 1
 BUFFER = 1 << 20
 STEP = 1 << 17
 #: Words whose ids a worker remembers.
-CACHE = 600_000
+CACHE = 1_500_000
+#: Symbols that end words; none of them begins a contraction of the tokenizer's pattern.
+TRAILING = b".,;:!?%*#&$)"
+BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 #: Joins words for one call of the tokenizer; texts that hold it are encoded on their own.
 MARK = "\x00"
 
@@ -51,41 +54,63 @@ class WordIds:
     """Token ids of texts by way of their words: the tokenizer drops white space and never joins across it.
 
     Only space, newline, tab and carriage return part words here; other white space stays inside a
-    word and is left to the tokenizer.
+    word and is left to the tokenizer. A word's trailing symbols are a token run of their own, so
+    words that differ in them, or in the case of A-Z, share one call.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
 
-    def _encode(self, words: list[str]) -> None:
-        plain = [w for w in words if MARK not in w] if self.mark is not None else []
-        rest = set(words).difference(plain)
+    def _encode(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        plain = [t for t in texts if MARK not in t] if self.mark is not None else []
+        rest = set(texts).difference(plain)
         if plain:
-            ids = np.asarray(self.tokenizer.encode(f" {MARK} ".join(plain), add_special_tokens=False).ids, np.uint32)
+            joined = f" {MARK} ".join(plain)
+            ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark)
             if len(cuts) == len(plain) - 1:
-                first = np.r_[0, cuts + 1] * 4
-                last = np.r_[cuts, len(ids)] * 4
-                raw = ids.astype("<u4").tobytes()
-                self.known.update(zip(plain, [raw[a:z] for a, z in zip(first.tolist(), last.tolist(), strict=True)], strict=True))
+                first = (np.r_[0, cuts + 1] * 4).tolist()
+                last = (np.r_[cuts, len(ids)] * 4).tolist()
+                raw = ids.tobytes()
+                self.known.update(
+                    (t.encode("utf-8", "surrogatepass"), raw[a:z]) for t, a, z in zip(plain, first, last, strict=True)
+                )
             else:  # a word that makes the mark's own id
                 rest.update(plain)
-        for w in rest:
-            self.known[w] = np.asarray(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        for t in rest:
+            ids = np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4")
+            self.known[t.encode("utf-8", "surrogatepass")] = ids.tobytes()
+
+    def _learn(self, new: set[bytes]) -> None:
+        whole, composed = set(), []
+        for w in new:
+            core = w.rstrip(TRAILING)
+            if core != w and core and core.decode("utf-8", "surrogatepass")[-1].isalnum():
+                composed.append((w, core, w[len(core) :]))
+            else:
+                whole.add(w)
+        for _, core, tail in composed:
+            whole.add(core)
+            whole.add(tail)
+        missing = list(whole.difference(self.known))
+        for k in range(0, len(missing), 20_000):
+            self._encode(missing[k : k + 20_000])
+        known = self.known
+        for w, core, tail in composed:
+            known[w] = known[core] + known[tail]
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self.known) > CACHE:
             self.known = {}
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list(set(chain.from_iterable(parts)).difference(self.known))
-        for k in range(0, len(new), 20_000):
-            self._encode(new[k : k + 20_000])
+        parts = [t.encode("utf-8", "surrogatepass").lower().translate(BLANKS).split(b" ") for t in texts]
+        self._learn(set(chain.from_iterable(parts)).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
