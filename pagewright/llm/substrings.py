@@ -9,8 +9,10 @@ document chain into maximal repeats, whose words are removed.
 Grouping windows by content replaces document pairs: a passage that a third of all documents share
 costs a row per occurrence, a map-side minimum, and a join that Spark can split where it is hot.
 
-Windows are told apart by 96 bits of hash. Seeds reach the second pass as a filter of fixed size;
-where it fills up, more windows are hashed and the result stays the same.
+Equal texts are settled as wholes before that: copies of a smaller document lose all their words.
+
+Windows are told apart by 96 bits of hash. Seeds, and the keys of copied or shortened texts, reach
+later passes as filters of fixed size; where one fills up, more rows move and the result stays the same.
 
 Defined cases: null or wordless text has no words; texts under `length` words lose nothing; rows
 with equal doc_id never remove each other's words; a null doc_id neither removes nor loses any;
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,7 @@ from .common import (
     U,
     bitmap,
     in_bitmap,
+    materialise,
     run_hashes,
     small_batches,
     text_or_empty,
@@ -43,14 +47,24 @@ from .common import (
 LENGTH = 13
 K = 5
 FILTER_BITS = 26
+#: Bits of the filters of text keys.
+COPY_BITS = 24
 HASH_SEED = 1
 
 
-def _anchors(k: int, w: int):
+def _parts(batch: pa.RecordBatch, skip) -> Iterator[tuple]:
+    """Words of the batch's texts with a mask of the texts that count here: those outside the filter."""
+    keys = batch["text_key"].to_numpy()
+    ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+    out = np.ones(len(keys), bool) if skip is None else ~in_bitmap(skip.value, keys.view(U))
+    for words in word_slices(pc.if_else(pa.array(out), batch["text"], ""), SPACED):
+        yield words, ids, keys
+
+
+def _anchors(skip, k: int, w: int):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            for words in word_slices(batch["text"], SPACED):
+            for words, ids, _ in _parts(batch, skip):
                 grams, _ = run_hashes(words.hashes, words.doc, k)
                 at = winnow(grams, words.doc, k, w)
                 yield pa.RecordBatch.from_arrays(
@@ -61,28 +75,22 @@ def _anchors(k: int, w: int):
     return mapped
 
 
-def _around(seeded: np.ndarray, n: int, length: int, k: int) -> np.ndarray:
-    """Which of n window starts cover a whole seed: from length - k words before it to its own start."""
-    edge = np.zeros(n + length, np.int32)
-    np.add.at(edge, np.maximum(seeded - (length - k), 0), 1)
-    np.add.at(edge, np.minimum(seeded, n - 1) + 1, -1)
-    return np.cumsum(edge[:n]) > 0
-
+def _windows(filter_, skip, length: int, k: int, w: int):
+    """Windows whose own minimum k-gram is a seed: the k-grams of a window are just those of one winnowing window."""
 
-def _windows(filter_, length: int, k: int, w: int):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_.value
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            keys = batch["text_key"].to_numpy()
-            for words in word_slices(batch["text"], SPACED):
+            for words, ids, keys in _parts(batch, skip):
                 whole, inside = run_hashes(words.hashes, words.doc, length)
-                if not len(whole):
+                n = len(whole)
+                if not n:
                     continue
                 grams, _ = run_hashes(words.hashes, words.doc, k)
-                at = winnow(grams, words.doc, k, w)
-                at = at[in_bitmap(bits, grams[at])]
-                starts = np.flatnonzero(_around(at, len(whole), length, k) & inside)
+                low = grams[:n].copy()
+                for j in range(1, w):
+                    np.minimum(low, grams[j : j + n], out=low)
+                starts = np.flatnonzero(in_bitmap(bits, low) & inside)
                 second, _ = run_hashes(words.hashes, words.doc, length, HASH_SEED)
                 doc = words.doc[starts]
                 position = starts - words.bounds()[doc]
@@ -91,15 +99,27 @@ def _windows(filter_, length: int, k: int, w: int):
                         pa.array(whole[starts].view(np.int64)),
                         pa.array((second[starts] >> U(32)).astype(np.uint32).view(np.int32)),
                         pa.array(ids[words.first + doc], pa.int64()),
-                        pa.array(keys[words.first + doc]),
+                        pa.array(keys[words.first + doc].astype(np.int32)),
                         pa.array(position.astype(np.int32)),
                     ],
-                    ["h", "h2", "doc_id", "text_key", "pos"],
+                    ["h", "h2", "doc_id", "key32", "pos"],
                 )
 
     return mapped
 
 
+def _inside(filter_):
+    """The rows whose text key passes the filter."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.filter(pa.array(in_bitmap(filter_.value, batch["text_key"].to_numpy().view(U))))
+            if len(found):
+                yield found
+
+    return mapped
+
+
 def covered(positions: np.ndarray, n: int, length: int) -> np.ndarray:
     """Which of n words lie in a window of `length` words that starts at one of the positions."""
     edge = np.zeros(n + 1, np.int32)
@@ -108,61 +128,100 @@ def covered(positions: np.ndarray, n: int, length: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def _kept(length: int):
+def _kept(length: int, skip=None):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch["starts"]
+            if skip is not None:
+                batch = batch.filter(pa.array(~in_bitmap(skip.value, batch["text_key"].to_numpy().view(U))))
             n_words, n_removed, texts = [], [], []
+            starts = batch["starts"] if skip is None else None
+            copies = batch["copy"].to_pylist() if skip is None else None
             for words in word_slices(batch["text"], SPACED):
-                b = words.bounds()
+                counts = np.diff(words.bounds()).tolist()
                 for i in range(words.n_docs):
-                    first, last = int(b[i]), int(b[i + 1])
-                    n = last - first
-                    gone = starts[words.first + i]
-                    parts = words.text(i).split()
                     # bytes.split() cuts at the same six characters as the words' pattern
-                    if gone.is_valid and len(gone):
-                        out = covered(np.asarray(gone.values, np.int64), n, length)
-                        parts = [p for p, x in zip(parts, out.tolist(), strict=True) if not x]
-                    n_words.append(n)
-                    n_removed.append(n - len(parts))
+                    parts = words.text(i).split()
+                    if skip is None:
+                        if copies[words.first + i] and counts[i] >= length:
+                            parts = []
+                        elif (gone := starts[words.first + i]).is_valid and len(gone):
+                            out = covered(gone.values.to_numpy(), counts[i], length)
+                            parts = [p for p, x in zip(parts, out.tolist(), strict=True) if not x]
+                    n_words.append(counts[i])
+                    n_removed.append(counts[i] - len(parts))
                     texts.append(b" ".join(parts))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()), pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+                [
+                    batch["doc_id"],
+                    pa.array(n_words, pa.int64()),
+                    pa.array(n_removed, pa.int64()),
+                    pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                    pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string()),
+                ],
+                KEPT.replace(" long", "").replace(" string", "").split(", "),
             )
 
     return mapped
 
 
+KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+TEXTS = "doc_id long, text_key long, text string"
+
+
+def keyed_texts(documents: DataFrame) -> DataFrame:
+    text = text_or_empty(documents)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
 def repeats(documents: DataFrame, length: int = LENGTH, k: int = K, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(doc_id, text_key, starts): first words of the windows that also start in a smaller document."""
+    """(doc_id, text_key, starts, copy): windows that also start in a smaller document; copy: the whole text does.
+
+    Equal texts are settled as wholes: only the smallest document of each group is looked into.
+    """
     spark = documents.sparkSession
     small_batches(spark)
     w = length - k + 1
-    text = text_or_empty(documents)
-    docs = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
+    docs = keyed_texts(documents.where(F.col("doc_id").isNotNull()))
+    keys = docs.select("doc_id", "text_key", F.xxhash64(F.lit("second"), "text").alias("key2"))
+    groups = keys.groupBy("text_key", "key2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    groups = materialise(groups, "equal-texts")
+    maybe = worker_broadcast(spark, bitmap(groups, "text_key", COPY_BITS))
+    grouped = docs.mapInArrow(_inside(maybe), TEXTS).withColumn("key2", F.xxhash64(F.lit("second"), "text"))
+    firsts = grouped.join(groups, ["text_key", "key2"], "left").where(F.coalesce(F.col("doc_id") == F.col("low"), F.lit(True)))
+    firsts = materialise(firsts.select("doc_id", "text_key", "text"), "first-texts")
+
+    def scanned(function, schema: str) -> DataFrame:
+        return docs.mapInArrow(function(maybe), schema).unionAll(firsts.mapInArrow(function(None), schema))
+
     seeds = (
-        docs.select("doc_id", "text")
-        .mapInArrow(_anchors(k, w), "anchor long, doc_id long")
+        scanned(lambda skip: _anchors(skip, k, w), "anchor long, doc_id long")
         .groupBy("anchor")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .where("low < high")
     )
     filter_ = worker_broadcast(spark, bitmap(seeds.select("anchor"), "anchor", filter_bits))
-    windows = docs.mapInArrow(_windows(filter_, length, k, w), "h long, h2 int, doc_id long, text_key long, pos int")
-    lowest = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    windows = scanned(lambda skip: _windows(filter_, skip, length, k, w), "h long, h2 int, doc_id long, key32 int, pos int")
+    lowest = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("low"))
     later = windows.join(lowest, ["h", "h2"]).where(F.col("doc_id") > F.col("low"))
-    return later.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("starts"))
+    cut = later.groupBy("doc_id", "key32").agg(F.collect_set("pos").alias("starts"))
+    copies = keys.join(groups, ["text_key", "key2"]).where(F.col("doc_id") > F.col("low")).select("doc_id", "text_key").distinct()
+    # the key's low half is enough to tell rows of one doc_id apart
+    looked = docs.select("doc_id", "text_key", F.expr("cast(shiftright(shiftleft(text_key, 32), 32) as int)").alias("key32"))
+    cut = cut.join(looked, ["doc_id", "key32"]).select("doc_id", "text_key", "starts", F.lit(False).alias("copy")).distinct()
+    return cut.unionAll(copies.select("doc_id", "text_key", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy")))
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """Per row of documents: doc_id, n_words, n_removed, kept_sha256, kept_text (words joined by one space)."""
-    found = repeats(documents, length, k)
-    text = text_or_empty(documents)
-    docs = documents.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
-    joined = docs.join(found.hint("shuffle_hash"), ["doc_id", "text_key"], "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(_kept(length), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    """Per row of documents: doc_id, n_words, n_removed, kept_sha256, kept_text (words joined by one space).
+
+    Only texts that may lose words are shuffled; a filter of fixed size tells them apart.
+    """
+    found = materialise(repeats(documents, length, k), "repeats")
+    docs = keyed_texts(documents)
+    touched = worker_broadcast(documents.sparkSession, bitmap(found, "text_key", COPY_BITS))
+    whole = docs.mapInArrow(_kept(length, touched), KEPT)
+    joined = docs.mapInArrow(_inside(touched), TEXTS).join(found, ["doc_id", "text_key"], "left")
+    return whole.unionAll(joined.select("doc_id", "text", "starts", "copy").mapInArrow(_kept(length), KEPT))
 
 
 def dedup_substrings(documents: DataFrame) -> DataFrame:
