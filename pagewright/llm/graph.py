@@ -48,3 +48,42 @@ def components(links: DataFrame) -> DataFrame:
         turn += 1
     lowest = assigned.groupBy("root").agg(F.min("node").alias("low"))
     return assigned.join(lowest, "root").select("node", F.col("low").alias("root"))
+
+
+def linked(buckets: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
+    """Links and components of nodes that share buckets.
+
+    buckets: (bucket, node). verify: takes pairs (a, b), a < b, and returns those that hold, with a and
+    b among its columns. First every node of a bucket meets its smallest one. Then, in buckets that
+    still hold several components, each node outside the smallest one's component meets all nodes of
+    other components. So a bucket whose nodes are all alike costs one pair a node, and every link
+    between nodes of one bucket that could join two components is tried.
+    """
+    centers = (
+        buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("most")).where("center < most").drop("most")
+    )
+    members = materialise(buckets.join(centers, "bucket").distinct(), "members")
+    stars = materialise(members.where("node > center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    links = materialise(verify(stars), "links")
+    roots = components(links)
+    of_node = roots.select(F.col("node").alias("_n"), "root")
+    of_center = roots.select(F.col("node").alias("_c"), F.col("root").alias("_center_root"))
+    placed = materialise(
+        members.join(of_node, members["node"] == of_node["_n"], "left")
+        .join(of_center, members["center"] == of_center["_c"], "left")
+        .select("bucket", "node", "center", F.coalesce("root", "node").alias("root"), F.coalesce("_center_root", "center").alias("center_root")),
+        "placed",
+    )
+    outside = placed.where("root <> center_root").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
+    rest = (
+        placed.where("node > center")
+        .join(outside, "bucket")
+        .where((F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("center_root")) | (F.col("node") < F.col("x"))))
+        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+        .distinct()
+    )
+    rest = materialise(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        links = materialise(links.unionAll(verify(rest)), "links")
+        roots = components(links)
+    return links, roots

@@ -8,11 +8,8 @@ chunks report theirs, and the reported ones are counted over all texts. There ar
 (shingles per text) / FLOOR of them, whatever the number of texts; that table is broadcast.
 
 Sampling gives each text consistent samples that agree for two texts with the probability of their
-weighted Jaccard similarity. Samples are banded. In each bucket all texts meet the smallest one;
-pairs are verified by exact weighted Jaccard, and verified links give components. Then, in buckets
-that still hold several components, every text outside the smallest one's component meets all of
-the bucket that lie in other components. A large group of copies is one component after the first
-step, so it isn't paired out, and no link that the buckets hold is lost.
+weighted Jaccard similarity. Samples are banded, texts of one bucket are paired as graph.linked says,
+and pairs are verified by exact weighted Jaccard; components of the links are the classes.
 
 Defined cases: equal texts are one class without sampling; a null text is empty; texts without words
 are equal only to their like; a text of fewer than 5 words is one shingle; rows that repeat a doc_id
@@ -39,7 +36,6 @@ from .common import (
     bitmap,
     counted_rows,
     in_bitmap,
-    keyed_texts,
     materialise,
     mix,
     rows_inside,
@@ -48,7 +44,7 @@ from .common import (
     word_slices,
     worker_broadcast,
 )
-from .graph import components
+from .graph import linked
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -262,7 +258,7 @@ def verified(pairs: DataFrame, texts: EqualTexts, table, similarity: float) -> D
     a = moved.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = moved.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return materialise(joined.mapInArrow(_verified(table, similarity), "a long, b long, similarity double"), "links")
+    return joined.mapInArrow(_verified(table, similarity), "a long, b long, similarity double")
 
 
 def near_duplicates(
@@ -274,33 +270,7 @@ def near_duplicates(
     texts = EqualTexts(documents)
     table = worker_broadcast(spark, frequent_weights(texts))
     buckets = materialise(texts.scan(_signatures(table, rows, bands), "node long, bucket long"), "buckets")
-    centers = (
-        buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("most")).where("center < most").drop("most")
-    )
-    members = materialise(buckets.join(centers, "bucket"), "members")
-    stars = materialise(members.where("node > center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    links = verified(stars, texts, table, similarity)
-    roots = components(links)
-    of_node = roots.select(F.col("node").alias("_n"), "root")
-    of_center = roots.select(F.col("node").alias("_c"), F.col("root").alias("_center_root"))
-    placed = (
-        members.join(of_node, members["node"] == of_node["_n"], "left")
-        .join(of_center, members["center"] == of_center["_c"], "left")
-        .select("bucket", "node", "center", F.coalesce("root", "node").alias("root"), F.coalesce("_center_root", "center").alias("center_root"))
-    )
-    placed = materialise(placed, "placed")
-    outside = placed.where("root <> center_root").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    rest = (
-        placed.where("node > center")
-        .join(outside, "bucket")
-        .where((F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("center_root")) | (F.col("node") < F.col("x"))))
-        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-        .distinct()
-    )
-    rest = materialise(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = materialise(links.unionAll(verified(rest, texts, table, similarity)), "links")
-        roots = components(links)
+    links, roots = linked(buckets, lambda pairs: verified(pairs, texts, table, similarity))
     spoken = texts.keys.join(texts.groups, ["text_key", "key2"], "left").select("doc_id", F.coalesce("low", "doc_id").alias("node"))
     classes = spoken.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id"))
     unnamed = documents.where(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
@@ -308,8 +278,8 @@ def near_duplicates(
 
 
 def dedup_report(documents: DataFrame) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of its class), n_links (verified links of its text to different texts), kept."""
-    classes, links = near_duplicates(documents)
+    """doc_id, class_id (smallest doc_id of its class), kept."""
+    classes, _ = near_duplicates(documents)
     return classes.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
@@ -318,6 +288,3 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     classes, _ = near_duplicates(documents)
     gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct()
     return documents.join(gone.hint("shuffle_hash"), documents["doc_id"] == gone["_id"], "left_anti")
-
-
-__all__ = ["dedup_report", "deduplicated", "keyed_texts", "near_duplicates", "weighted_jaccard"]
