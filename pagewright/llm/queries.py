@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neardup, packing, quality, sharding, substrings, warc
+from . import decontaminate, linededup, neardup, packing, quality, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_quality": op3_quality,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op9_near_duplicates": op9_near_duplicates,
