@@ -27,6 +27,7 @@ from .common import (
     U,
     bitmap,
     in_bitmap,
+    keyed_texts,
     materialise,
     run_hashes,
     small_batches,
@@ -99,11 +100,12 @@ def _document_side(filter_, spans: list[int]):
                     [
                         pa.array(np.arange(row, row + words.n_docs)),
                         ids.slice(words.first, words.n_docs),
+                        batch["text_key"].slice(words.first, words.n_docs),
                         pa.array(np.diff(b).astype(np.int64)),
                         pa.array(hits, pa.list_(pa.struct([("fp", pa.int64()), ("span", pa.int32()), ("pos", pa.int32())]))),
                         pa.array([t if h else None for t, h in zip(part, hits, strict=True)], pa.string()),
                     ],
-                    ["row", "doc_id", "n_words", "hits", "text"],
+                    ["row", "doc_id", "text_key", "n_words", "hits", "text"],
                 )
                 row += words.n_docs
 
@@ -149,7 +151,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of documents: row, doc_id, n_words, spans (disjoint hit intervals of words), item_ids (sorted as strings)."""
+    """Per row of documents: row, doc_id, text_key, n_words, spans (disjoint hit intervals of words), item_ids (sorted as strings)."""
     spark = documents.sparkSession
     small_batches(spark)
     items = benchmark.select("item_id", text_or_empty(benchmark).alias("text")).distinct()
@@ -159,11 +161,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     # at most SPAN different lengths
     spans = sorted(r["span"] for r in prints.select("span").distinct().collect())
     shared = worker_broadcast(spark, bitmap(prints, "fp", FILTER_BITS))
-    docs = documents.select("doc_id", text_or_empty(documents).alias("text"))
+    docs = keyed_texts(documents)
     scanned = materialise(
         docs.mapInArrow(
             _document_side(shared, spans),
-            "row long, doc_id long, n_words long, hits array<struct<fp long, span int, pos int>>, text string",
+            "row long, doc_id long, text_key long, n_words long, hits array<struct<fp long, span int, pos int>>, text string",
         ),
         "document-prints",
     )
@@ -197,7 +199,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     per_row = found.groupBy("row").agg(
         merged.alias("spans"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids")
     )
-    return scanned.select("row", "doc_id", "n_words").join(per_row, "row", "left")
+    return scanned.select("row", "doc_id", "text_key", "n_words").join(per_row, "row", "left")
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -215,6 +217,15 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 
+def cleaned(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that hold no benchmark span, with all their columns."""
+    found = contamination(documents, benchmark).where(F.size("spans") > 0)
+    hit = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    keyed = documents.withColumn("_key0", F.xxhash64(text_or_empty(documents)))
+    same = keyed["doc_id"].cast("long").eqNullSafe(hit["_id"]) & (keyed["_key0"] == hit["_key"])
+    return keyed.join(hit.hint("shuffle_hash"), same, "left_anti").select(documents.columns)
+
+
 def decontaminate_sql() -> str:
     """The same in DuckDB, window by window."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

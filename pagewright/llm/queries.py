@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, neardup, packing, quality, sharding, substrings, warc
+from . import decontaminate, extract, langid, linededup, neardup, packing, quality, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.dedup_report(_table(spark, sf_dir, "documents"))
 
@@ -53,10 +62,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_quality": op3_quality,
     "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op5_html_extraction": op5_html_extraction,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_language": op8_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_substrings": op10_substrings,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
@@ -65,4 +77,4 @@ ORACLES: dict[str, str] = {
     "op3_quality": quality.quality_sql(),
     "op7_decontamination": decontaminate.decontaminate_sql(),
     "op10_substrings": substrings.dedup_sql(),
-}
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
