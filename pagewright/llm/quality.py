@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import materialise, text_or_empty
 
 #: White space that parts words (fixed characters of the contract).
 SPACES = " \t\n\x0b\f\r"
@@ -142,13 +142,13 @@ def furniture(documents: DataFrame) -> DataFrame:
 
 
 def _lost(documents: DataFrame) -> DataFrame:
-    """(doc_id, source, text_key): words in furniture lines, in the copies of such a row together, and those copies' rows."""
+    """(doc_id, source, text_key, n_lost): words in furniture lines; the text of a line stays where it was read."""
     rows = furniture(documents).withColumnRenamed("source", "_source").withColumnRenamed("h", "_h")
     lines = _lines_of(documents)
-    n_words = F.size(words_of(F.col("line")))
+    lines = lines.select("doc_id", "source", "text_key", "place", "h", F.size(words_of(F.col("line"))).alias("n"))
     hit = lines.join(rows, lines["source"].eqNullSafe(rows["_source"]) & (lines["h"] == rows["_h"]), "left_semi")
     # rows equal in all three columns have the same lines, each as often as there are such rows
-    per_line = hit.groupBy("doc_id", "source", "text_key", "place").agg(F.max(n_words).alias("n"))
+    per_line = hit.groupBy("doc_id", "source", "text_key", "place").agg(F.max("n").alias("n"))
     return per_line.groupBy("doc_id", "source", "text_key").agg(F.sum("n").alias("n_lost"))
 
 
@@ -178,13 +178,15 @@ def quality_report(documents: DataFrame) -> DataFrame:
 def filtered(documents: DataFrame) -> DataFrame:
     """The documents that stay, without furniture lines; all columns, n_chars counted again where there is one."""
     text = text_or_empty(documents)
-    kept = judged(documents).where("kept")
+    # written first: a filter on the verdict would be pushed into the counts' long chain of columns
+    kept = materialise(judged(documents), "verdicts").where("kept")
     keys = kept.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"), (F.col("n_lost") > 0).alias("_cut")
     ).distinct()
     keyed = documents.withColumn("_text_key", F.xxhash64(text))
     same = keyed["doc_id"].eqNullSafe(keys["_id"]) & (keyed["_text_key"] == keys["_key"]) & keyed["source"].eqNullSafe(keys["_src"])
     stay = keyed.join(keys.hint("shuffle_hash"), same, "inner")
+    # at most (lines a document) / HOST_SHARE lines a host
     rows = furniture(documents).groupBy("source").agg(F.collect_set("h").alias("_gone")).withColumnRenamed("source", "_host")
     whole = stay.where(~F.col("_cut"))
     cut = stay.where("_cut").join(rows, stay["source"].eqNullSafe(rows["_host"]), "left")
