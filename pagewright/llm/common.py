@@ -6,6 +6,7 @@ texts; a word never crosses from one text into the next.
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -52,6 +53,22 @@ def text_or_empty(df: DataFrame, column: str = "text"):
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+#: Columns of documents that operators read by name.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeping_columns(operator):
+    """For operators from documents to documents: other columns go under names of their own meanwhile, so none can clash."""
+
+    @functools.wraps(operator)
+    def run(documents: DataFrame, *args, **named) -> DataFrame:
+        names = documents.columns
+        inner = documents.toDF(*[c if c in KNOWN else f"extra_column_{k}" for k, c in enumerate(names)])
+        return operator(inner, *args, **named).toDF(*names)
+
+    return run
+
+
 def byte_class(separators: bytes) -> np.ndarray:
     """A table of 256 booleans: True where a byte belongs to a word."""
     table = np.ones(256, dtype=bool)
@@ -79,7 +96,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U), np.ones(1, U))
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
         size = max(n, SLICE_BYTES + 1)
@@ -109,7 +126,7 @@ class Words:
         self.starts = np.flatnonzero(word & ~before)
         self.ends = np.flatnonzero(word & ~after) + 1
         self.doc = np.searchsorted(offsets, self.starts, "right") - 1
-        up, down = _powers_to(len(data) + 1)
+        up, down = powers_to(len(data) + 1)
         sums = np.empty(len(data) + 1, U)
         sums[0] = 0
         np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=sums[1:])
@@ -124,8 +141,12 @@ class Words:
         return self.data[self.offsets[k] : self.offsets[k + 1]].tobytes()
 
 
-def word_slices(column: pa.Array, table: np.ndarray, lower: bool = False) -> Iterator[Words]:
-    """Words of an Arrow string column, a few whole texts at a time. A null text has none."""
+def word_slices(column: pa.Array, table: np.ndarray, lower: bool = False, fold: np.ndarray | None = None) -> Iterator[Words]:
+    """Words of an Arrow string column, a few whole texts at a time. A null text has none.
+
+    lower: A-Z count as a-z. fold: what each byte counts as, instead.
+    """
+    fold = LOWER if lower else fold
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -139,7 +160,7 @@ def word_slices(column: pa.Array, table: np.ndarray, lower: bool = False) -> Ite
     while k < n:
         end = max(k + 1, int(np.searchsorted(offsets, offsets[k] + SLICE_BYTES, "right")) - 1)
         data = body[offsets[k] : offsets[end]]
-        yield Words(LOWER[data] if lower else data, offsets[k : end + 1] - offsets[k], table, k)
+        yield Words(data if fold is None else fold[data], offsets[k : end + 1] - offsets[k], table, k)
         k = end
 
 
@@ -202,13 +223,13 @@ def worker_broadcast(spark: SparkSession, value):
     return spark.sparkContext.broadcast(value)
 
 
-def rows_inside(filter_, column: str):
-    """For mapInArrow: the rows whose value in a long column passes the filter."""
+def rows_inside(filter_, column: str, inside: bool = True):
+    """For mapInArrow: the rows whose value in a long column passes the filter, or those where it doesn't."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch[column].to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
-            found = batch.filter(pa.array(in_bitmap(filter_.value, keys.view(U))))
+            found = batch.filter(pa.array(in_bitmap(filter_.value, keys.view(U)) == inside))
             if len(found):
                 yield found
 

@@ -36,6 +36,7 @@ from .common import (
     bitmap,
     counted_rows,
     in_bitmap,
+    keeping_columns,
     materialise,
     mix,
     rows_inside,
@@ -56,6 +57,10 @@ CHUNK = 2_000_000
 #: Entries of the table of random variates.
 VARIATES = 1 << 16
 SEED = 20240229
+#: Bins of hashes whose weights bound what two texts have in common; a power of two.
+BINS = 64
+#: Bits of the filter of shingles that several texts have.
+SHARED_BITS = 26
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,13 +253,65 @@ def _verified(table, similarity: float):
     return mapped
 
 
+def texts_of(nodes: DataFrame, texts: EqualTexts) -> DataFrame:
+    """doc_id, text of the nodes; only what a filter of fixed size lets through is moved."""
+    wanted = worker_broadcast(nodes.sparkSession, bitmap(nodes, "node", KEY_BITS))
+    moved = texts.docs.mapInArrow(rows_inside(wanted, "doc_id"), TEXTS).select("doc_id", "text").dropDuplicates(["doc_id"])
+    return materialise(moved.join(nodes, moved["doc_id"] == nodes["node"], "left_semi"), "node-texts")
+
+
+def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for words in word_slices(batch["text"], SPACED, lower=True):
+            _, h, _ = shingles(words)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["shingle"])
+
+
+def _shared_weights(filter_, table):
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch["doc_id"].to_numpy()
+            for words in word_slices(batch["text"], SPACED, lower=True):
+                doc, h, n = shingles(words)
+                w = weighted(h, n, table.value)
+                whole = np.bincount(doc, w, words.n_docs)
+                shared = np.bincount(doc, w * in_bitmap(filter_.value, h), words.n_docs)
+                bins = np.bincount(doc * BINS + (h >> U(64 - BINS.bit_length() + 1)).astype(np.int64), w, words.n_docs * BINS)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[words.first : words.first + words.n_docs]),
+                        pa.array(whole),
+                        pa.array(shared),
+                        pa.array(list(bins.reshape(-1, BINS)), pa.list_(pa.float64())),
+                    ],
+                    ["node", "weight", "shared", "bins"],
+                )
+
+    return mapped
+
+
+def shared_weights(nodes: DataFrame, texts: EqualTexts, table) -> DataFrame:
+    """(node, weight, shared, bins): the weight of each text's shingles, of those that two of the nodes have or more, and by hash.
+
+    Two texts have at most the smaller shared weight in common, and in each bin of hashes at most the
+    smaller weight there. Both bound their similarity. Repeated shingles pass through a filter of fixed size, so `shared` may be too large, never too small.
+    """
+    held = texts_of(nodes, texts)
+    repeated = held.mapInArrow(_shingles_of, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    filter_ = worker_broadcast(nodes.sparkSession, bitmap(repeated.select("shingle"), "shingle", SHARED_BITS))
+    return held.mapInArrow(_shared_weights(filter_, table), "node long, weight double, shared double, bins array<double>")
+
+
+def _may_reach(x: dict, y: dict, similarity: float):
+    """Whether two texts' measures allow the similarity: what they can have in common against all they have."""
+    least = (x["weight"] + y["weight"]) * (similarity * (1 - 1e-9))
+    common = F.aggregate(F.zip_with(x["bins"], y["bins"], lambda a, b: F.least(a, b)), F.lit(0.0), lambda n, c: n + c)
+    return (F.least(x["shared"], y["shared"]) * (1 + similarity) >= least) & (common * (1 + similarity) >= least)
+
+
 def verified(pairs: DataFrame, texts: EqualTexts, table, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough; only texts of documents in pairs are moved."""
-    spark = pairs.sparkSession
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = worker_broadcast(spark, bitmap(ends, "node", KEY_BITS))
-    moved = texts.docs.mapInArrow(rows_inside(wanted, "doc_id"), TEXTS).select("doc_id", "text").dropDuplicates(["doc_id"])
-    moved = materialise(moved.join(ends, moved["doc_id"] == ends["node"], "left_semi"), "pair-texts")
+    moved = texts_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), texts)
     a = moved.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = moved.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
@@ -270,7 +327,12 @@ def near_duplicates(
     texts = EqualTexts(documents)
     table = worker_broadcast(spark, frequent_weights(texts))
     buckets = materialise(texts.scan(_signatures(table, rows, bands), "node long, bucket long"), "buckets")
-    links, roots = linked(buckets, lambda pairs: verified(pairs, texts, table, similarity))
+    links, roots = linked(
+        buckets,
+        lambda pairs: verified(pairs, texts, table, similarity),
+        lambda nodes: shared_weights(nodes, texts, table),
+        lambda x, y: _may_reach(x, y, similarity),
+    )
     spoken = texts.keys.join(texts.groups, ["text_key", "key2"], "left").select("doc_id", F.coalesce("low", "doc_id").alias("node"))
     classes = spoken.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id"))
     unnamed = documents.where(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
@@ -283,6 +345,7 @@ def dedup_report(documents: DataFrame) -> DataFrame:
     return classes.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
+@keeping_columns
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     classes, _ = near_duplicates(documents)
