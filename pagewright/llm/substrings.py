@@ -92,17 +92,21 @@ def _windows(filter_, skip, length: int, k: int, w: int):
                     np.minimum(low, grams[j : j + n], out=low)
                 starts = np.flatnonzero(in_bitmap(bits, low) & inside)
                 second, _ = run_hashes(words.hashes, words.doc, length, HASH_SEED)
+                # a text that says a window again and again has it once here
+                order = starts[np.lexsort((whole[starts], words.doc[starts]))]
+                h, doc = whole[order], words.doc[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                starts = order[new]
                 doc = words.doc[starts]
-                position = starts - words.bounds()[doc]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(whole[starts].view(np.int64)),
                         pa.array((second[starts] >> U(32)).astype(np.uint32).view(np.int32)),
                         pa.array(ids[words.first + doc], pa.int64()),
                         pa.array(keys[words.first + doc].astype(np.int32)),
-                        pa.array(position.astype(np.int32)),
                     ],
-                    ["h", "h2", "doc_id", "key32", "pos"],
+                    ["h", "h2", "doc_id", "key32"],
                 )
 
     return mapped
@@ -134,18 +138,22 @@ def _kept(length: int, skip=None):
             if skip is not None:
                 batch = batch.filter(pa.array(~in_bitmap(skip.value, batch["text_key"].to_numpy().view(U))))
             n_words, n_removed, texts = [], [], []
-            starts = batch["starts"] if skip is None else None
+            windows = batch["windows"] if skip is None else None
             copies = batch["copy"].to_pylist() if skip is None else None
             for words in word_slices(batch["text"], SPACED):
-                counts = np.diff(words.bounds()).tolist()
+                b = words.bounds()
+                counts = np.diff(b).tolist()
                 for i in range(words.n_docs):
                     # bytes.split() cuts at the same six characters as the words' pattern
                     parts = words.text(i).split()
                     if skip is None:
                         if copies[words.first + i] and counts[i] >= length:
                             parts = []
-                        elif (gone := starts[words.first + i]).is_valid and len(gone):
-                            out = covered(gone.values.to_numpy(), counts[i], length)
+                        elif (gone := windows[words.first + i]).is_valid and len(gone):
+                            first = int(b[i])
+                            whole, _ = run_hashes(words.hashes[first : first + counts[i]], words.doc[first : first + counts[i]], length)
+                            at = np.flatnonzero(np.isin(whole, gone.values.to_numpy().view(U)))
+                            out = covered(at, counts[i], length)
                             parts = [p for p, x in zip(parts, out.tolist(), strict=True) if not x]
                     n_words.append(counts[i])
                     n_removed.append(counts[i] - len(parts))
@@ -174,7 +182,7 @@ def keyed_texts(documents: DataFrame) -> DataFrame:
 
 
 def repeats(documents: DataFrame, length: int = LENGTH, k: int = K, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(doc_id, text_key, starts, copy): windows that also start in a smaller document; copy: the whole text does.
+    """(doc_id, text_key, windows, copy): hashes of windows that also start in a smaller document; copy: the whole text does.
 
     Equal texts are settled as wholes: only the smallest document of each group is looked into.
     """
@@ -200,15 +208,17 @@ def repeats(documents: DataFrame, length: int = LENGTH, k: int = K, filter_bits:
         .where("low < high")
     )
     filter_ = worker_broadcast(spark, bitmap(seeds.select("anchor"), "anchor", filter_bits))
-    windows = scanned(lambda skip: _windows(filter_, skip, length, k, w), "h long, h2 int, doc_id long, key32 int, pos int")
-    lowest = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("low"))
+    windows = scanned(lambda skip: _windows(filter_, skip, length, k, w), "h long, h2 int, doc_id long, key32 int")
+    lowest = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    # written, so that both sides of the join are plain shuffles and a hot window can be split
+    lowest = materialise(lowest, "lowest")
     later = windows.join(lowest, ["h", "h2"]).where(F.col("doc_id") > F.col("low"))
-    cut = later.groupBy("doc_id", "key32").agg(F.collect_set("pos").alias("starts"))
+    cut = later.groupBy("doc_id", "key32").agg(F.collect_set("h").alias("windows"))
     copies = keys.join(groups, ["text_key", "key2"]).where(F.col("doc_id") > F.col("low")).select("doc_id", "text_key").distinct()
     # the key's low half is enough to tell rows of one doc_id apart
     looked = docs.select("doc_id", "text_key", F.expr("cast(shiftright(shiftleft(text_key, 32), 32) as int)").alias("key32"))
-    cut = cut.join(looked, ["doc_id", "key32"]).select("doc_id", "text_key", "starts", F.lit(False).alias("copy")).distinct()
-    return cut.unionAll(copies.select("doc_id", "text_key", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy")))
+    cut = cut.join(looked, ["doc_id", "key32"]).select("doc_id", "text_key", "windows", F.lit(False).alias("copy")).distinct()
+    return cut.unionAll(copies.select("doc_id", "text_key", F.lit(None).cast("array<bigint>").alias("windows"), F.lit(True).alias("copy")))
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
@@ -221,7 +231,7 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, k: int = K) -> D
     touched = worker_broadcast(documents.sparkSession, bitmap(found, "text_key", COPY_BITS))
     whole = docs.mapInArrow(_kept(length, touched), KEPT)
     joined = docs.mapInArrow(_inside(touched), TEXTS).join(found, ["doc_id", "text_key"], "left")
-    return whole.unionAll(joined.select("doc_id", "text", "starts", "copy").mapInArrow(_kept(length), KEPT))
+    return whole.unionAll(joined.select("doc_id", "text", "windows", "copy").mapInArrow(_kept(length), KEPT))
 
 
 def dedup_substrings(documents: DataFrame) -> DataFrame:
