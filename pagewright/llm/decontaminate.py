@@ -27,6 +27,7 @@ from .common import (
     U,
     bitmap,
     in_bitmap,
+    keeping_columns,
     keyed_texts,
     materialise,
     run_hashes,
@@ -217,6 +218,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 
+@keeping_columns
 def cleaned(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark span, with all their columns."""
     found = contamination(documents, benchmark).where(F.size("spans") > 0)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import keeping_columns, materialise, text_or_empty
 
 #: White space that parts words (fixed characters of the contract).
 SPACES = " \t\n\x0b\f\r"
@@ -175,6 +175,7 @@ def quality_report(documents: DataFrame) -> DataFrame:
     )
 
 
+@keeping_columns
 def filtered(documents: DataFrame) -> DataFrame:
     """The documents that stay, without furniture lines; all columns, n_chars counted again where there is one."""
     text = text_or_empty(documents)
