@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .blocks import BEFORE_HEADINGS, flagged_sections, sections
+from .blocks import BEFORE_HEADINGS, flagged_sections, sections, with_sections
 from .notes import audit, definitions
+from .spelling import word_spans
 
 CORRECTION = "book string, ord long, action string, section string, pdf_pages array<int>, before array<string>, after array<string>"
 
@@ -136,3 +137,36 @@ def changed_headings(before: DataFrame, after: DataFrame) -> DataFrame:
     pairs = a.select("book", "k", "level", F.col("title").alias("_old")).join(b.select("book", "k", F.col("level").alias("_level"), "title", "pdf_a"), ["book", "k"], "full")
     broken = pairs.where("not (level <=> _level)").select("book").distinct()
     return pairs.join(broken, "book", "left_anti").where("_old <> title and pdf_a is not null").select("book", F.col("pdf_a").alias("pdf"), "title")
+
+
+def _undo(blocks: list[tuple], log: list[dict]) -> dict[int, str]:
+    """For each rule's entry, last first, the first block still free with the folded words of what it made; its own section's first."""
+    folded = lambda value: tuple(s[3] for s in word_spans(value or ""))
+    found: dict[int, str] = {}
+    held = [(idx, title, folded(value)) for idx, title, value in blocks]
+    for entry in sorted(log, key=lambda e: -e["ord"]):
+        want = folded(entry["after"])
+        free = [(title != entry["section"], idx) for idx, title, words in held if words == want and idx not in found]
+        if want and free:
+            found[min(free)[1]] = entry["before"]
+    return found
+
+
+def before_rules(blocks: DataFrame, log: DataFrame) -> DataFrame:
+    """(book, idx, text): a model's draft with the changes of its spelling rules taken back, a book a task.
+
+    log: book, ord, section, before, after (arrays), reason, rule. Entries of a rule, or with a reason
+    that says so, count if they have one block before and after.
+    """
+    single = (F.size("before") == 1) & (F.size("after") == 1)
+    ruled = log.where(single & ((F.size("rule") > 0) | F.coalesce(F.lower("reason").contains("rule"), F.lit(False))))
+    entries = ruled.select("book", "ord", "section", F.col("before")[0].alias("before"), F.col("after")[0].alias("after"))
+    placed = with_sections(blocks).join(sections(blocks).select("book", "k", "title"), ["book", "k"]).select("book", "idx", "title", "text")
+
+    def run(key, b: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+        rows = list(b.sort_values("idx")[["idx", "title", "text"]].itertuples(index=False, name=None))
+        taken = _undo(rows, e.to_dict("records"))
+        return pd.DataFrame([(key[0], idx, taken.get(idx, value)) for idx, _, value in rows], columns=["book", "idx", "text"])
+
+    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns]).groupBy("book")
+    return fresh(placed).cogroup(fresh(entries)).applyInPandas(run, "book string, idx long, text string")
