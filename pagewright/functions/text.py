@@ -230,3 +230,22 @@ def section_story(title: Column) -> Column:
 def content_version(c: Column) -> Column:
     """The first twelve digits of a text's sha1: what an edit must name to be applied."""
     return F.substring(F.sha1(c.cast("binary")), 1, 12)
+
+
+def roman_value(c: Column) -> Column:
+    """The number of a Roman numeral; l and 1 count as I. Null for anything else."""
+    plain = F.translate(F.upper(c), "1L|", "III")
+    value = lambda x: F.when(x == "I", 1).when(x == "V", 5).when(x == "X", 10).otherwise(0)
+    digits = F.reverse(F.transform(F.split(plain, ""), value))
+    fold = F.aggregate(
+        digits,
+        F.struct(F.lit(0).alias("sum"), F.lit(0).alias("most")),
+        lambda s, d: F.struct((s["sum"] + F.when(d < s["most"], -d).otherwise(d)).alias("sum"), F.greatest(s["most"], d).alias("most")),
+        lambda s: s["sum"],
+    )
+    return F.when(plain.rlike("^[IVX]+$"), fold)
+
+
+def without_noise(c: Column) -> Column:
+    """A row without the specks that OCR reads before its first word: marks, and single letters among them."""
+    return F.btrim(F.regexp_replace(c, r"^(?:[^\p{L}\p{N}\s]+\s*|\p{Ll}\s+(?=[^\p{L}\p{N}\s]))+", ""))

@@ -137,3 +137,18 @@ def renumbered(blocks: DataFrame) -> DataFrame:
     """(book, k, note_id, number): calls numbered by first appearance in their section."""
     first = calls(blocks).groupBy("book", "k", "note_id").agg(F.min(F.struct("idx", "nth")).alias("_first"))
     return first.withColumn("number", F.row_number().over(Window.partitionBy("book", "k").orderBy("_first"))).drop("_first")
+
+
+def headword_evidence(notes: DataFrame, segments: DataFrame) -> DataFrame:
+    """(book, note_id, page, seq, start): where a note's headword stands once, and only once, in its scope's pages.
+
+    notes: book, note_id, text (headword before a colon), first, last (pages).
+    """
+    word = F.btrim(F.regexp_extract("text", r"^([^:]{2,40}):", 1))
+    asked = notes.withColumn("_w", word).where("_w <> ''").select("book", "note_id", "_w", F.explode(F.sequence("first", "last")).alias("page"))
+    body = segments.where("kind <> 'footnote'").select("book", "page", "seq", "text")
+    met = asked.join(body, ["book", "page"]).where(F.expr("contains(text, _w)"))
+    times = (F.length("text") - F.length(F.expr("replace(text, _w, '')"))) / F.length("_w")
+    place = F.expr("locate(_w, text)") + F.length("_w") - 1
+    found = met.groupBy("book", "note_id").agg(F.sum(times).alias("_n"), F.min(F.struct("page", "seq", place.alias("start"))).alias("_f"))
+    return found.where("_n = 1").select("book", "note_id", "_f.*")
