@@ -59,8 +59,6 @@ VARIATES = 1 << 16
 SEED = 20240229
 #: Bins of hashes whose weights bound what two texts have in common; a power of two.
 BINS = 64
-#: Bits of the filter of shingles that several texts have.
-SHARED_BITS = 26
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,14 +258,7 @@ def texts_of(nodes: DataFrame, texts: EqualTexts) -> DataFrame:
     return materialise(moved.join(nodes, moved["doc_id"] == nodes["node"], "left_semi"), "node-texts")
 
 
-def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for words in word_slices(batch["text"], SPACED, lower=True):
-            _, h, _ = shingles(words)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["shingle"])
-
-
-def _shared_weights(filter_, table):
+def _binned(table):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
@@ -275,38 +266,32 @@ def _shared_weights(filter_, table):
                 doc, h, n = shingles(words)
                 w = weighted(h, n, table.value)
                 whole = np.bincount(doc, w, words.n_docs)
-                shared = np.bincount(doc, w * in_bitmap(filter_.value, h), words.n_docs)
                 bins = np.bincount(doc * BINS + (h >> U(64 - BINS.bit_length() + 1)).astype(np.int64), w, words.n_docs * BINS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[words.first : words.first + words.n_docs]),
                         pa.array(whole),
-                        pa.array(shared),
                         pa.array(list(bins.reshape(-1, BINS)), pa.list_(pa.float64())),
                     ],
-                    ["node", "weight", "shared", "bins"],
+                    ["node", "weight", "bins"],
                 )
 
     return mapped
 
 
-def shared_weights(nodes: DataFrame, texts: EqualTexts, table) -> DataFrame:
-    """(node, weight, shared, bins): the weight of each text's shingles, of those that two of the nodes have or more, and by hash.
+def binned_weights(nodes: DataFrame, texts: EqualTexts, table) -> DataFrame:
+    """(node, weight, bins): the weight of each text's shingles, as a whole and in bins of their hashes.
 
-    Two texts have at most the smaller shared weight in common, and in each bin of hashes at most the
-    smaller weight there. Both bound their similarity. Repeated shingles pass through a filter of fixed size, so `shared` may be too large, never too small.
+    In each bin two texts have at most the smaller weight in common, which bounds their similarity.
     """
-    held = texts_of(nodes, texts)
-    repeated = held.mapInArrow(_shingles_of, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    filter_ = worker_broadcast(nodes.sparkSession, bitmap(repeated.select("shingle"), "shingle", SHARED_BITS))
-    return held.mapInArrow(_shared_weights(filter_, table), "node long, weight double, shared double, bins array<double>")
+    return texts_of(nodes, texts).mapInArrow(_binned(table), "node long, weight double, bins array<double>")
 
 
 def _may_reach(x: dict, y: dict, similarity: float):
     """Whether two texts' measures allow the similarity: what they can have in common against all they have."""
     least = (x["weight"] + y["weight"]) * (similarity * (1 - 1e-9))
     common = F.aggregate(F.zip_with(x["bins"], y["bins"], lambda a, b: F.least(a, b)), F.lit(0.0), lambda n, c: n + c)
-    return (F.least(x["shared"], y["shared"]) * (1 + similarity) >= least) & (common * (1 + similarity) >= least)
+    return common * (1 + similarity) >= least
 
 
 def verified(pairs: DataFrame, texts: EqualTexts, table, similarity: float) -> DataFrame:
@@ -330,7 +315,7 @@ def near_duplicates(
     links, roots = linked(
         buckets,
         lambda pairs: verified(pairs, texts, table, similarity),
-        lambda nodes: shared_weights(nodes, texts, table),
+        lambda nodes: binned_weights(nodes, texts, table),
         lambda x, y: _may_reach(x, y, similarity),
     )
     spoken = texts.keys.join(texts.groups, ["text_key", "key2"], "left").select("doc_id", F.coalesce("low", "doc_id").alias("node"))
