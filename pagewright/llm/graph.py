@@ -105,7 +105,7 @@ def linked(buckets: DataFrame, verify, measure=None, possible=None) -> tuple[Dat
     outside = open_.where("root <> ref_root").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "_in", *names)])
     apart = (F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("ref_root")) | (F.col("node") < F.col("x_node")))
     first = F.array_min(F.array_intersect("_in", "x__in")) == F.col("bucket")
-    rest = open_.where("node <> ref").join(outside, "bucket").where(apart & may & first).select(*_pairs("node", "x_node")).distinct()
+    rest = open_.where("node <> ref").join(outside, "bucket").where(apart & first & may).select(*_pairs("node", "x_node")).distinct()
     rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = materialise(verify(rest), "links")
