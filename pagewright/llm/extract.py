@@ -4,8 +4,10 @@ A page becomes a tree of elements without the parts that markup names as furnitu
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments). Each node gets its
 characters per tag, adjusted for characters and tags inside links; a node's density sum is that of
 its children. The subtree with the largest sum is the article; the least density on its path to the
-body is the threshold for the blocks beside it. Where markup names the article (article, main, or a
-main role), the search stays inside the longest such element and takes all of it.
+body is the threshold for the blocks beside it. Where markup names an article (article, main, or a
+main role), the name is a prior only: if the largest sum lies inside such an element, all of it is
+taken, an element around such ones has to have over twice their sum, and other named elements need only the
+threshold's density to be kept as well.
 
 Defined cases: a null or empty html gives an empty text; broken and cut-off markup is read as far as
 it goes; repeated rows are separate rows; an empty table gives an empty result.
@@ -218,26 +220,40 @@ def _nodes(root: Node) -> Iterator[Node]:
 
 def choose(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
-    named = [n for n in _nodes(root) if n.tag in ("article", "main") and n.chars]
-    if named:
-        inner = [n for n in named if n.tag == "article"] or named
-        return [max(inner, key=lambda n: n.chars)]
     body = next((n for n in _nodes(root) if n.tag == "body"), root)
     holders = [n for n in _nodes(body) if n.tag in BLOCK or n is body]
-    best = max(holders, key=lambda n: n.sum)
-    if best.tag == "p" or not best.sum:
-        best = best.parent if best.tag == "p" and best.parent is not None else body
-    path, node = [best], best
-    while node is not body and node.parent is not None:
-        node = node.parent
-        path.append(node)
+    top = max(holders, key=lambda n: n.sum)
+    if top.tag == "p" or not top.sum:
+        top = top.parent if top.tag == "p" and top.parent is not None else body
+    named = [n for n in holders if n.tag in ("article", "main") and n.chars]
+    best = top
+    if named:
+        scores = {id(n): max(n.density, *(x.sum for x in _nodes(n))) for n in named}
+        # of equal ones the innermost
+        likely = max(enumerate(named), key=lambda x: (scores[id(x[1])], x[0]))[1]
+        if top in _above(likely, body):
+            outer = [n for n in named if not any(id(x) in scores for x in _above(n, body)[1:]) and top in _above(n, body)]
+            best = likely if 2 * max(scores[id(likely)], sum(scores[id(n)] for n in outer)) >= top.sum else top
+        else:
+            best = next((n for n in _above(top, body) if id(n) in scores), top)
+    path = _above(best, body)
     threshold = min(n.density for n in path)
     chosen = {id(best)}
     for node, above in zip(path, path[1:], strict=False):
         for c in above.children:
-            if isinstance(c, Node) and c is not node and c.tag in BLOCK and c.density >= threshold and c.sum >= best.sum / 2 and 2 * c.link_chars <= c.chars:
+            if isinstance(c, Node) and c is not node and c.tag in BLOCK and c.density >= threshold and max(c.sum, c.density) >= best.sum / 2 and 2 * c.link_chars <= c.chars:
                 chosen.add(id(c))
-    return [n for n in _nodes(body) if id(n) in chosen]
+    chosen |= {id(n) for n in named if n not in path and n.density >= threshold and 2 * n.link_chars <= n.chars}
+    kept = [n for n in _nodes(body) if id(n) in chosen]
+    return [n for n in kept if not any(id(x) in chosen for x in _above(n, body)[1:])]
+
+
+def _above(node: Node, body: Node) -> list[Node]:
+    """A node and those around it, up to the body."""
+    path = [node]
+    while path[-1] is not body and path[-1].parent is not None:
+        path.append(path[-1].parent)
+    return path
 
 
 def blocks(node: Node) -> list[str]:
