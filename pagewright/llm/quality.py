@@ -7,6 +7,10 @@ The limit of a host is the larger of `MIN_DOCUMENTS` and a share of the host's d
 of copies inside a host is left to the deduplication operators and only what a tenth of a host
 repeats counts as its furniture.
 
+What counts as a document there: in the report each row, as its SQL says; in `filtered` each different
+text of a host, so that copies of one text never make its own lines furniture and the text is kept for
+the deduplication operators to choose from.
+
 Defined cases: a null text has no words and fails; repeated rows are separate documents with the same
 result; a null source is a host of its own; an empty table gives an empty result.
 """
@@ -119,11 +123,12 @@ def _lines_of(documents: DataFrame) -> DataFrame:
     return split.where(_dropped(F.col("line"), SPACES) != "").withColumn("h", F.xxhash64(normalised(F.col("line"))))
 
 
-def furniture(documents: DataFrame) -> DataFrame:
+def furniture(documents: DataFrame, per_text: bool = False) -> DataFrame:
     """(source, h): lines that more documents of a host hold than its limit.
 
     A document counts once for a line: its hashes are made distinct before they leave the row. The
     counts combine before the shuffle, so a line that every document holds is no hot spot.
+    per_text: equal texts of a host count as one document, also in the host's size.
     """
     text = text_or_empty(documents)
     held = F.array_distinct(
@@ -131,7 +136,11 @@ def furniture(documents: DataFrame) -> DataFrame:
             F.filter(F.split(text, "\n", -1), lambda x: _dropped(x, SPACES) != ""), lambda x: F.xxhash64(normalised(x))
         )
     )
-    lines = documents.select("source", F.explode(held).alias("h")).groupBy("source", "h").agg(F.count(F.lit(1)).alias("n"))
+    counted = documents.select("source", F.xxhash64(text).alias("text_key"), held.alias("_held"))
+    if per_text:
+        counted = counted.groupBy("source", "text_key").agg(F.first("_held").alias("_held"))
+        documents = documents.select("source", F.xxhash64(text).alias("text_key")).distinct()
+    lines = counted.select("source", F.explode("_held").alias("h")).groupBy("source", "h").agg(F.count(F.lit(1)).alias("n"))
     hosts = documents.groupBy("source").agg(F.count(F.lit(1)).alias("n_host"))
     return (
         lines.where(F.col("n") > MIN_DOCUMENTS)
@@ -141,9 +150,9 @@ def furniture(documents: DataFrame) -> DataFrame:
     )
 
 
-def _lost(documents: DataFrame) -> DataFrame:
+def _lost(documents: DataFrame, per_text: bool) -> DataFrame:
     """(doc_id, source, text_key, n_lost): words in furniture lines; the text of a line stays where it was read."""
-    rows = furniture(documents).withColumnRenamed("source", "_source").withColumnRenamed("h", "_h")
+    rows = furniture(documents, per_text).withColumnRenamed("source", "_source").withColumnRenamed("h", "_h")
     lines = _lines_of(documents)
     lines = lines.select("doc_id", "source", "text_key", "place", "h", F.size(words_of(F.col("line"))).alias("n"))
     hit = lines.join(rows, lines["source"].eqNullSafe(rows["_source"]) & (lines["h"] == rows["_h"]), "left_semi")
@@ -152,10 +161,10 @@ def _lost(documents: DataFrame) -> DataFrame:
     return per_line.groupBy("doc_id", "source", "text_key").agg(F.sum("n").alias("n_lost"))
 
 
-def judged(documents: DataFrame) -> DataFrame:
+def judged(documents: DataFrame, per_text: bool = False) -> DataFrame:
     """Base columns, words lost with furniture lines, and the verdict of each row."""
     base = base_counts(documents)
-    lost = _lost(documents).select(
+    lost = _lost(documents, per_text).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"), "n_lost"
     )
     same = base["doc_id"].eqNullSafe(lost["_id"]) & (base["text_key"] == lost["_key"]) & base["source"].eqNullSafe(lost["_src"])
@@ -180,7 +189,7 @@ def filtered(documents: DataFrame) -> DataFrame:
     """The documents that stay, without furniture lines; all columns, n_chars counted again where there is one."""
     text = text_or_empty(documents)
     # written first: a filter on the verdict would be pushed into the counts' long chain of columns
-    kept = materialise(judged(documents), "verdicts").where("kept")
+    kept = materialise(judged(documents, per_text=True), "verdicts").where("kept")
     keys = kept.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"), (F.col("n_lost") > 0).alias("_cut")
     ).distinct()
@@ -188,7 +197,7 @@ def filtered(documents: DataFrame) -> DataFrame:
     same = keyed["doc_id"].eqNullSafe(keys["_id"]) & (keyed["_text_key"] == keys["_key"]) & keyed["source"].eqNullSafe(keys["_src"])
     stay = keyed.join(keys.hint("shuffle_hash"), same, "inner")
     # at most (lines a document) / HOST_SHARE lines a host
-    rows = furniture(documents).groupBy("source").agg(F.collect_set("h").alias("_gone")).withColumnRenamed("source", "_host")
+    rows = furniture(documents, per_text=True).groupBy("source").agg(F.collect_set("h").alias("_gone")).withColumnRenamed("source", "_host")
     whole = stay.where(~F.col("_cut"))
     cut = stay.where("_cut").join(rows, stay["source"].eqNullSafe(rows["_host"]), "left")
     lines = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("_gone", F.xxhash64(normalised(x))))
