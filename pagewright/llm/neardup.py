@@ -61,6 +61,7 @@ SEED = 20240229
 BINS = 256
 #: Weights in bins are whole numbers of this part, rounded up.
 PART = 4096
+BINNED = "node long, weight double, bins array<bigint>"
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,7 +274,7 @@ def _binned(table):
                     [
                         pa.array(ids[words.first : words.first + words.n_docs]),
                         pa.array(whole),
-                        pa.array(list(np.ceil(bins * PART).astype(np.int32).reshape(-1, BINS)), pa.list_(pa.int32())),
+                        pa.array(list(np.ceil(bins * PART).astype(np.int64).reshape(-1, BINS)), pa.list_(pa.int64())),
                     ],
                     ["node", "weight", "bins"],
                 )
@@ -286,13 +287,13 @@ def binned_weights(nodes: DataFrame, texts: EqualTexts, table) -> DataFrame:
 
     In each bin two texts have at most the smaller weight in common, which bounds their similarity.
     """
-    return texts_of(nodes, texts).mapInArrow(_binned(table), "node long, weight double, bins array<int>")
+    return texts_of(nodes, texts).mapInArrow(_binned(table), BINNED)
 
 
 def _may_reach(x: dict, y: dict, similarity: float):
     """Whether two texts' measures allow the similarity: what they can have in common against all they have."""
     least = (x["weight"] + y["weight"]) * (similarity * (1 - 1e-9))
-    common = F.aggregate(F.zip_with(x["bins"], y["bins"], lambda a, b: F.least(a, b)), F.lit(0), lambda n, c: n + c) / PART
+    common = F.aggregate(F.zip_with(x["bins"], y["bins"], lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda n, c: n + c) / PART
     return common * (1 + similarity) >= least
 
 
