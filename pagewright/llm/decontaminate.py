@@ -9,7 +9,8 @@ Document fingerprints pass a filter of fixed size made from the benchmark's, so
 hit move nothing; what passes is joined exactly.
 
 Defined cases: a null or wordless text has no words, no hits; a wordless item never occurs; repeated
-rows are separate rows with the same result; an empty benchmark leaves every document clean.
+rows are separate rows with the same result; items with a null item_id count as one item, which has no
+name in the digest; an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -152,7 +153,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of documents: row, doc_id, text_key, n_words, spans (disjoint hit intervals of words), item_ids (sorted as strings)."""
+    """Per row of documents: row, doc_id, text_key, n_words, spans (disjoint hit intervals of words), item_ids (sorted as strings), n_items."""
     spark = documents.sparkSession
     small_batches(spark)
     items = benchmark.select("item_id", text_or_empty(benchmark).alias("text")).distinct()
@@ -176,7 +177,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("row", "item_id")
         .agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("shifts"))
     )
-    with_items = pairs.join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
+    named = items.select(F.col("item_id").alias("_id"), F.col("text").alias("item_text"))
+    with_items = pairs.join(named, pairs["item_id"].eqNullSafe(named["_id"])).drop("_id")
     with_texts = scanned.where(F.col("text").isNotNull()).select("row", "text").join(with_items, "row")
     found = with_texts.select("row", "text", "item_id", "item_text", "shifts").mapInArrow(
         _extended, "row long, item_id long, spans array<struct<start int, stop int>>"
@@ -197,8 +199,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             ),
         ).otherwise(F.concat(done, F.array(x))),
     )
+    unnamed = F.max(F.col("item_id").isNull().cast("int"))
     per_row = found.groupBy("row").agg(
-        merged.alias("spans"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids")
+        merged.alias("spans"),
+        F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"),
+        (F.size(F.collect_set("item_id")) + unnamed).alias("n_items"),
     )
     return scanned.select("row", "doc_id", "text_key", "n_words").join(per_row, "row", "left")
 
@@ -211,7 +216,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id",
         "n_words",
         F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
         F.coalesce(F.size("spans") > 0, F.lit(False)).alias("contaminated"),
     )
