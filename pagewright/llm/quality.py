@@ -12,7 +12,8 @@ text of a host, so that copies of one text never make its own lines furniture an
 the deduplication operators to choose from.
 
 Defined cases: a null text has no words and fails; repeated rows are separate documents with the same
-result; a null source is a host of its own; an empty table gives an empty result.
+result; a null source is a host of its own; a line counts once for a document however often it stands there;
+an empty table gives an empty result; columns of any other name are carried along by `filtered`.
 """
 
 from __future__ import annotations
@@ -38,14 +39,15 @@ LEAST_LEFT = 0.5
 FEW = 48
 
 
-def words_of(text: Column) -> Column:
-    """The runs of characters other than the six white ones."""
-    spaced = F.translate(text, SPACES[1:], " " * (len(SPACES) - 1))
-    return F.filter(F.split(spaced, " ", -1), lambda w: w != "")
+def spaced(text: Column) -> Column:
+    """The text with a blank for each of the six white characters."""
+    for c in SPACES[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
 
 
-def _dropped(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _has_word(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACES)) != ""
 
 
 def repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
@@ -84,64 +86,79 @@ def repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
     return placed.withColumn(out, F.expr(total)).drop("_tri", "_twice", "_sorted", "_same", "_pairs", "_at")
 
 
+def _folded(text: Column) -> Column:
+    """Lower case, digits alike, each white character but a line end as a blank."""
+    folded = F.lower(text)
+    folded = F.when(folded.rlike("[1-9]"), F.translate(folded, "123456789", "0" * 9)).otherwise(folded)
+    for c in SPACES.replace("\n", "")[1:]:
+        folded = F.replace(folded, F.lit(c), F.lit(" "))
+    return folded
+
+
+def _single(line: Column) -> Column:
+    """A folded line with single blanks and none at its ends."""
+    return F.btrim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line))
+
+
 def normalised(line: Column) -> Column:
     """A line for comparison: lower case, single spaces, digits alike."""
-    folded = F.translate(F.lower(line), "123456789", "0" * 9)
-    return F.btrim(F.regexp_replace(folded, r"[\x20\x09-\x0D]+", " "))
+    return _single(_folded(line))
 
 
-def base_counts(documents: DataFrame) -> DataFrame:
-    """doc_id, source, text_key and the base columns of each row."""
+def counted(documents: DataFrame) -> DataFrame:
+    """doc_id, source, text_key, base columns of each row, and `_held`: hash and number of words of its lines with a word.
+
+    The one pass over whole texts.
+    """
     text = text_or_empty(documents)
-    lines = F.filter(F.split(F.col("_text"), "\n", -1), lambda x: _dropped(x, SPACES) != "")
-    counted = (
+    lines = F.filter(F.split(F.col("_text"), "\n", -1), _has_word)
+    normal = F.filter(F.transform(F.split(_folded(F.col("_text")), "\n", -1), _single), lambda x: x != "")
+    n_in = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+    read = (
         documents.select("doc_id", "source", text.alias("_text"))
-        .withColumn("_words", words_of(F.col("_text")))
+        .withColumn("_parts", F.split(spaced(F.col("_text")), " ", -1))
+        .withColumn("_words", F.filter("_parts", lambda w: w != ""))
         .withColumn("_lines", lines)
+        .withColumn("_held", F.transform(normal, lambda x: F.struct(F.xxhash64(x).alias("h"), n_in(x).alias("n"))))
     )
-    full = repeated_words(counted, "_words", "n_repeat_words")
+    full = repeated_words(read, "_words", "n_repeat_words")
     n_words = F.size("_words").cast("long")
+    symbols = F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))
     return full.select(
         "doc_id",
         "source",
         F.xxhash64("_text").alias("text_key"),
         n_words.alias("n_words"),
-        F.length(_dropped(F.col("_text"), SPACES)).cast("long").alias("word_chars"),
-        (F.length("_text") - F.length(_dropped(F.col("_text"), SYMBOLS))).cast("long").alias("n_symbols"),
+        # as many white characters as there are cuts
+        (F.length("_text") - F.size("_parts") + 1).cast("long").alias("word_chars"),
+        F.when(F.col("_text").rlike(f"[{SYMBOLS}]"), symbols).otherwise(0).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         ((n_words < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n_words * MOST_REPEATED)).alias("base_failed"),
+        "_held",
     )
 
 
-def _lines_of(documents: DataFrame) -> DataFrame:
-    """A row per line with a word: doc_id, source, text_key, place, line, hash of the normalised line."""
-    text = text_or_empty(documents)
-    split = documents.select(
-        "doc_id", "source", F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n", -1)).alias("place", "line")
-    )
-    return split.where(_dropped(F.col("line"), SPACES) != "").withColumn("h", F.xxhash64(normalised(F.col("line"))))
+def furniture(documents: DataFrame, per_text: bool = False) -> DataFrame:
+    """(source, h): lines that more documents of a host hold than its limit."""
+    return _furniture(counted(documents), per_text)
 
 
-def furniture(documents: DataFrame, per_text: bool = False) -> DataFrame:
-    """(source, h): lines that more documents of a host hold than its limit.
+def _furniture(rows: DataFrame, per_text: bool) -> DataFrame:
+    """The same for what `counted` gives.
 
     A document counts once for a line: its hashes are made distinct before they leave the row. The
     counts combine before the shuffle, so a line that every document holds is no hot spot.
     per_text: equal texts of a host count as one document, also in the host's size.
     """
-    text = text_or_empty(documents)
-    held = F.array_distinct(
-        F.transform(
-            F.filter(F.split(text, "\n", -1), lambda x: _dropped(x, SPACES) != ""), lambda x: F.xxhash64(normalised(x))
-        )
-    )
-    counted = documents.select("source", F.xxhash64(text).alias("text_key"), held.alias("_held"))
     if per_text:
-        counted = counted.groupBy("source", "text_key").agg(F.first("_held").alias("_held"))
-        documents = documents.select("source", F.xxhash64(text).alias("text_key")).distinct()
-    lines = counted.select("source", F.explode("_held").alias("h")).groupBy("source", "h").agg(F.count(F.lit(1)).alias("n"))
-    hosts = documents.groupBy("source").agg(F.count(F.lit(1)).alias("n_host"))
+        rows = rows.groupBy("source", "text_key").agg(F.first("_held").alias("_held"))
+    lines = (
+        rows.select("source", F.explode(F.array_distinct("_held.h")).alias("h"))
+        .groupBy("source", "h")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    hosts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_host"))
     return (
         lines.where(F.col("n") > MIN_DOCUMENTS)
         .join(hosts, lines["source"].eqNullSafe(hosts["source"]))
@@ -150,36 +167,42 @@ def furniture(documents: DataFrame, per_text: bool = False) -> DataFrame:
     )
 
 
-def _lost(documents: DataFrame, per_text: bool) -> DataFrame:
-    """(doc_id, source, text_key, n_lost): words in furniture lines; the text of a line stays where it was read."""
-    rows = furniture(documents, per_text).withColumnRenamed("source", "_source").withColumnRenamed("h", "_h")
-    lines = _lines_of(documents)
-    lines = lines.select("doc_id", "source", "text_key", "place", "h", F.size(words_of(F.col("line"))).alias("n"))
-    hit = lines.join(rows, lines["source"].eqNullSafe(rows["_source"]) & (lines["h"] == rows["_h"]), "left_semi")
+def _lost(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """(doc_id, source, text_key, n_lost): words in furniture lines."""
+    gone = gone.select(F.col("source").alias("_source"), F.col("h").alias("_h"))
+    lines = rows.select("doc_id", "source", "text_key", F.posexplode("_held").alias("place", "_line"))
+    lines = lines.select("doc_id", "source", "text_key", "place", "_line.h", "_line.n")
+    hit = lines.join(gone, lines["source"].eqNullSafe(gone["_source"]) & (lines["h"] == gone["_h"]), "left_semi")
     # rows equal in all three columns have the same lines, each as often as there are such rows
     per_line = hit.groupBy("doc_id", "source", "text_key", "place").agg(F.max("n").alias("n"))
     return per_line.groupBy("doc_id", "source", "text_key").agg(F.sum("n").alias("n_lost"))
 
 
-def judged(documents: DataFrame, per_text: bool = False) -> DataFrame:
-    """Base columns, words lost with furniture lines, and the verdict of each row."""
-    base = base_counts(documents)
-    lost = _lost(documents, per_text).select(
+def judged(documents: DataFrame, per_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Base columns, words lost with furniture lines and verdict of each row; and the furniture (source, h).
+
+    Counts and furniture are written, so the texts are read once.
+    """
+    rows = materialise(counted(documents), "counts")
+    gone = materialise(_furniture(rows, per_text), "furniture")
+    lost = _lost(rows, gone).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"), "n_lost"
     )
+    base = rows.drop("_held")
     same = base["doc_id"].eqNullSafe(lost["_id"]) & (base["text_key"] == lost["_key"]) & base["source"].eqNullSafe(lost["_src"])
     left = F.col("n_words") - F.coalesce("n_lost", F.lit(0))
     depleted = (left < F.col("n_words")) & ((left < F.col("n_words") * LEAST_LEFT) | (left < MIN_WORDS))
-    return (
+    verdicts = (
         base.join(lost, same, "left")
         .withColumn("n_lost", F.coalesce("n_lost", F.lit(0)))
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
         .drop("_id", "_src", "_key")
     )
+    return verdicts, gone
 
 
 def quality_report(documents: DataFrame) -> DataFrame:
-    return judged(documents).select(
+    return judged(documents)[0].select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
@@ -188,16 +211,15 @@ def quality_report(documents: DataFrame) -> DataFrame:
 def filtered(documents: DataFrame) -> DataFrame:
     """The documents that stay, without furniture lines; all columns, n_chars counted again where there is one."""
     text = text_or_empty(documents)
-    # written first: a filter on the verdict would be pushed into the counts' long chain of columns
-    kept = materialise(judged(documents, per_text=True), "verdicts").where("kept")
-    keys = kept.select(
+    verdicts, gone = judged(documents, per_text=True)
+    keys = verdicts.where("kept").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"), (F.col("n_lost") > 0).alias("_cut")
     ).distinct()
     keyed = documents.withColumn("_text_key", F.xxhash64(text))
     same = keyed["doc_id"].eqNullSafe(keys["_id"]) & (keyed["_text_key"] == keys["_key"]) & keyed["source"].eqNullSafe(keys["_src"])
     stay = keyed.join(keys.hint("shuffle_hash"), same, "inner")
     # at most (lines a document) / HOST_SHARE lines a host
-    rows = furniture(documents, per_text=True).groupBy("source").agg(F.collect_set("h").alias("_gone")).withColumnRenamed("source", "_host")
+    rows = gone.groupBy("source").agg(F.collect_set("h").alias("_gone")).withColumnRenamed("source", "_host")
     whole = stay.where(~F.col("_cut"))
     cut = stay.where("_cut").join(rows, stay["source"].eqNullSafe(rows["_host"]), "left")
     lines = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("_gone", F.xxhash64(normalised(x))))
