@@ -5,7 +5,8 @@ permuted place gives shard and slot by arithmetic: shard = place % shards, slot
 So shards differ by one row at most and slots have no gaps. DataFrame functions only.
 
 Defined cases: a null id counts as 0 for its bucket and sorts first; a null text has 0 bytes and
-the checksum of no bytes; repeated rows are separate rows; an empty table gives an empty result.
+the checksum of no bytes; repeated rows are separate rows; an empty table gives an empty result;
+columns of any other name are carried along by `sharded`.
 """
 
 from __future__ import annotations
@@ -34,19 +35,24 @@ def mix_sql(x: str, key: str) -> str:
     return f"(({y} * {y} % {PRIME} * {SPREAD} + {y}) % {PRIME})"
 
 
-def bucket_sql(id_column: str, buckets: int) -> str:
-    known = f"coalesce({id_column}, 0)"
-    return f"({mix_sql(f'(({known} % {PRIME} + {PRIME}) % {PRIME})', '17')} % {buckets})"
+def bucket_sql(columns: list[str], buckets: int) -> str:
+    """A bucket by whole-number columns; null counts as 0."""
+    x = "17"
+    for c in columns:
+        known = f"coalesce({c}, 0)"
+        x = mix_sql(f"(({known} % {PRIME} + {PRIME}) % {PRIME})", x)
+    return f"({x} % {buckets})"
 
 
 def row_numbers(df: DataFrame, order: list[str], buckets: int = BUCKETS) -> DataFrame:
     """Add `row` in [0, n) without gaps, and `n_rows`.
 
-    Rows are numbered by (bucket of the first column of `order`, then those columns); rows equal in
+    Rows are numbered by (bucket of the first two columns of `order`, then all of those columns); rows equal in
     all of them may change places, which no result shows. Two passes: counts of the buckets (a row
-    for each, so the running total is bounded by `buckets`), then a rank inside each bucket.
+    for each, so the running total is bounded by `buckets`), then a rank inside each bucket. A second column
+    parts rows that have the same first one.
     """
-    bucketed = df.withColumn("_bucket", F.expr(bucket_sql(f"`{order[0]}`", buckets)))
+    bucketed = df.withColumn("_bucket", F.expr(bucket_sql([f"`{c}`" for c in order[:2]], buckets)))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -91,22 +97,20 @@ def permuted(df: DataFrame, seed: int, row: str = "row", n: str = "n_rows", out:
 def sharded(df: DataFrame, shards: int, order: list[str], seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """df with `shard` (int) and `slot` (long): a reproducible shuffle whose shards differ by one row at most.
 
-    Where a row goes can be computed again from its number alone. Columns of df named like ours
-    (shard, slot, row, n_rows, place) are replaced.
+    Where a row goes can be computed again from its number alone. Columns of df keep their names and values; one that
+    is called shard or slot itself is found under that name with _before behind it.
     """
-    clean = df.drop("shard", "slot", "row", "n_rows", "place")
-    placed = permuted(row_numbers(clean, order, buckets), seed)
-    return (
-        placed.withColumn("shard", F.expr(f"cast(place % {shards} as int)"))
-        .withColumn("slot", F.expr(f"place div {shards}"))
-        .drop("row", "n_rows", "place")
-    )
+    names = df.columns
+    inner = [c if c in order else f"extra_column_{k}" for k, c in enumerate(names)]
+    placed = permuted(row_numbers(df.toDF(*inner), order, buckets), seed)
+    kept = [F.col(f"`{a}`").alias(f"{b}_before" if b in ("shard", "slot") else b) for a, b in zip(inner, names, strict=True)]
+    return placed.select(*kept, F.expr(f"cast(place % {shards} as int)").alias("shard"), F.expr(f"place div {shards}").alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, shards: int, order: list[str], seed: int = 0) -> None:
-    """Write each shard as a folder `shard=N` whose rows stand in slot order."""
+    """Write each shard as a folder `shard=N` whose files, in order of name, hold the rows in slot order: a large shard has several tasks."""
     out = sharded(df, shards, order, seed)
-    out.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def measured(documents: DataFrame) -> DataFrame:
@@ -142,7 +146,7 @@ def shard_sql(shards: int = 40, seed: int = 0, buckets: int = BUCKETS) -> str:
 WITH RECURSIVE sized AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, {crc32_sql("coalesce(text, '')")} AS text_crc32 FROM documents
 ), numbered AS (
-  SELECT *, row_number() OVER (ORDER BY {bucket_sql("doc_id", buckets)}, doc_id NULLS FIRST, text_crc32, size) - 1 AS num,
+  SELECT *, row_number() OVER (ORDER BY {bucket_sql(["doc_id", "text_crc32"], buckets)}, doc_id NULLS FIRST, text_crc32, size) - 1 AS num,
     count(*) OVER () AS n FROM sized
 ), grid AS (
   SELECT *, cast(ceil(sqrt(cast(n AS DOUBLE))) AS BIGINT) AS a FROM numbered
