@@ -200,10 +200,12 @@ def _reader(folder: str, keep_payload: bool):
 
 def read_records(selected: DataFrame, folder: str, keep_payload: bool = False) -> DataFrame:
     """Read the records of the selected index rows: neighbours in an archive with one request."""
+    # by the bytes they point to: the index rows themselves are too small to be dealt out by their own size
+    tasks = 1 + (selected.agg(F.sum("length")).first()[0] or 0) // BLOCK
     dealt = (
         selected.select("url", "file", "offset", "length")
         .withColumn("_block", F.expr(f"offset div {BLOCK}"))
-        .repartition("file", "_block")
+        .repartition(int(tasks), "file", "_block")
         .sortWithinPartitions("file", "offset")
         .drop("_block")
     )
