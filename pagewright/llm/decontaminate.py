@@ -134,18 +134,17 @@ def extend(doc: np.ndarray, item: np.ndarray, shifts: list[int], span: int) -> l
 
 
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last_text, last_words = None, None
     for batch in batches:
         rows, items, spans = [], [], []
         for r in batch.to_pylist():
-            if r["text"] is not last_text and r["text"] != last_text:
-                last_text, last_words = r["text"], _word_list(r["text"])
-            item = _word_list(r["item_text"])
-            runs = extend(last_words, item, r["shifts"], min(SPAN, len(item)))
-            if runs:
-                rows.append(r["row"])
-                items.append(r["item_id"])
-                spans.append([{"start": a, "stop": z} for a, z in runs])
+            doc = _word_list(r["text"])
+            for hit in r["items"]:
+                item = _word_list(hit["item_text"])
+                runs = extend(doc, item, hit["shifts"], min(SPAN, len(item)))
+                if runs:
+                    rows.append(r["row"])
+                    items.append(hit["item_id"])
+                    spans.append([{"start": a, "stop": z} for a, z in runs])
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.int64()), pa.array(items, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))],
             ["row", "item_id", "spans"],
@@ -179,8 +178,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     named = items.select(F.col("item_id").alias("_id"), F.col("text").alias("item_text"))
     with_items = pairs.join(named, pairs["item_id"].eqNullSafe(named["_id"])).drop("_id")
-    with_texts = scanned.where(F.col("text").isNotNull()).select("row", "text").join(with_items, "row")
-    found = with_texts.select("row", "text", "item_id", "item_text", "shifts").mapInArrow(
+    # a text moves once, whatever the number of items that it hits
+    per_text = with_items.groupBy("row").agg(F.collect_list(F.struct("item_id", "item_text", "shifts")).alias("items"))
+    with_texts = scanned.where(F.col("text").isNotNull()).select("row", "text").join(per_text, "row")
+    found = with_texts.select("row", "text", "items").mapInArrow(
         _extended, "row long, item_id long, spans array<struct<start int, stop int>>"
     )
     merged = F.aggregate(
