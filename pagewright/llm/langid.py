@@ -55,7 +55,9 @@ def profiles(documents: DataFrame, size: int = PROFILE) -> DataFrame:
     )
     counted = grams.where("gram <> ' '").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    return counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "gram", "rank")
+    # the limit stands on the row number itself, so each task keeps its first ones before they meet
+    first = counted.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= size)
+    return first.select("lang", "gram", (F.col("_place") - 1).alias("rank"))
 
 
 def _code(gram: str) -> int:
