@@ -3,8 +3,8 @@
 A text is a weighted set of its 5-word shingles (A-Z lower-cased). A shingle weighs its count times
 an inverse document frequency with a floor: shingles in under `FLOOR` of the different texts share
 the top weight 1, the frequent ones (boilerplate) weigh less, down to `LEAST`. The frequent ones are
-found exactly in two passes: a shingle that is frequent over all texts is frequent in some chunk, so
-chunks report theirs, and the reported ones are counted over all texts. There are at most
+found exactly in two passes: a shingle that is frequent over all texts is frequent in some task, so
+tasks report theirs, and the reported ones are counted over all texts. There are at most
 (shingles per text) / FLOOR of them, whatever the number of texts; that table is broadcast.
 
 Sampling gives each text consistent samples that agree for two texts with the probability of their
@@ -85,27 +85,48 @@ def _whole(hashes: np.ndarray) -> int:
     return int(run_hashes(hashes, np.zeros(len(hashes), np.int64), len(hashes), 3)[0][0])
 
 
+class LocalCounts:
+    """Counts of the shingles of a task's texts, each text's once, in bounded memory (lossy counting).
+
+    Whatever has been seen in under `share` of the texts so far may be dropped, so a count is short of the
+    true one by that share of the texts at most.
+    """
+
+    def __init__(self, share: float, chunk: int = CHUNK):
+        self.share, self.chunk = share, chunk
+        self.h, self.n, self.texts = np.empty(0, U), np.empty(0, np.int64), 0
+        self.held: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, h: np.ndarray, texts: int) -> None:
+        self.held.append(h)
+        self.size += len(h)
+        self.texts += texts
+        if self.size >= self.chunk:
+            self._merge()
+            stay = self.n > self.share * self.texts
+            self.h, self.n = self.h[stay], self.n[stay]
+
+    def _merge(self) -> None:
+        h, n = np.unique(np.concatenate([np.empty(0, U), *self.held]), return_counts=True)
+        self.h, at = np.unique(np.concatenate([self.h, h]), return_inverse=True)
+        self.n = np.bincount(at, np.concatenate([self.n, n]), len(self.h)).astype(np.int64)
+        self.held, self.size = [], 0
+
+    def over(self, floor: float) -> np.ndarray:
+        """All shingles that more than `floor` of the texts have, and no other that under `floor - share` of them have."""
+        self._merge()
+        return self.h[self.n > (floor - self.share) * self.texts]
+
+
 def _locally_frequent(floor: float):
     def function(skip):
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, size, texts = [], 0, 0
-
-            def report() -> pa.RecordBatch:
-                h, n = np.unique(np.concatenate(held), return_counts=True)
-                found = h[n >= np.ceil(floor * texts)]
-                return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
-
+            counts = LocalCounts(floor / 4)
             for batch in batches:
                 for words in word_slices(counted_rows(batch, skip)["text"], SPACED, lower=True):
-                    _, h, _ = shingles(words)
-                    held.append(h)
-                    size += len(h)
-                    texts += words.n_docs
-                    if size >= CHUNK:
-                        yield report()
-                        held, size, texts = [], 0, 0
-            if held:
-                yield report()
+                    counts.add(shingles(words)[1], words.n_docs)
+            yield pa.RecordBatch.from_arrays([pa.array(counts.over(floor).view(np.int64))], ["shingle"])
 
         return mapped
 
