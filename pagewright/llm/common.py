@@ -28,9 +28,11 @@ _P_INV = pow(_P, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset and all run on one machine, as in tests, one of our own."""
     held = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagewright-"))
         held = spark.sparkContext.getCheckpointDir()
     return held.rstrip("/")
