@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,46 +11,92 @@ from pyspark.sql import functions as F
 from ..functions import text
 from .blocks import BEFORE_HEADINGS, flagged_sections, sections, with_sections
 from .notes import audit, definitions
-from .spelling import word_spans
+from .spelling import fold_line, title_fold
 
+#: Reasons of a log's entries that respelled words (fixed phrases of the log).
+RESPELLED = ("names as the OCR prints them", "Spelling Rule:")
 CORRECTION = "book string, ord long, action string, section string, pdf_pages array<int>, before array<string>, after array<string>"
 
 
-def _titles(blocks: list[str]) -> list[str]:
-    """The section title of each block."""
-    import re
+HEADING = re.compile(r"#{1,6}\s+(.*)", re.DOTALL)
 
-    out, title = [], BEFORE_HEADINGS
-    for b in blocks:
-        if m := re.match(r"#{1,6}\s+(.*)", b, re.DOTALL):
-            title = re.sub(r"\s*\n#*\s*", " ", re.sub(r"\[\^[^\]\s]+\]:?", "", m[1])).strip()
-        out.append(title)
-    return out
 
+def _title(heading: str) -> str | None:
+    """The section title that a block gives, None if it is no heading."""
+    found = HEADING.match(heading)
+    if found is None:
+        return None
+    return re.sub(r"\s*\n#*\s*", " ", re.sub(r"\[\^[^\]\s]+\]:?", "", found[1])).strip()
 
-def replay_one(blocks: list[str], log: list[dict]) -> tuple[list[str], list[int], list[int]]:
-    """(blocks, applied, missed): corrections in order, each where its blocks stand once in its section, or once at all.
 
-    Titles are kept beside the blocks and made again only where a correction touches a heading.
+class Draft:
+    """The blocks of a book as a chain, with the places of each text, so that a correction costs its own blocks only.
+
+    Place 0 stands before the first block; `following` of the last one is 0.
     """
-    blocks, titles = list(blocks), _titles(blocks)
-    applied, missed = [], []
+
+    def __init__(self, blocks: list[str]):
+        self.text = dict(enumerate(blocks, 1))
+        n = len(blocks)
+        self.following = {k: k + 1 for k in range(n)} | {n: 0}
+        self.preceding = {k: k - 1 for k in range(1, n + 1)}
+        self.preceding[0] = n
+        self.places: dict[str, set[int]] = {}
+        for k, t in self.text.items():
+            self.places.setdefault(t, set()).add(k)
+        self.fresh = n + 1
+
+    def run(self, place: int, n: int) -> list[int]:
+        """Up to n places from one on."""
+        out = []
+        while place and len(out) < n:
+            out.append(place)
+            place = self.following[place]
+        return out
+
+    def section(self, place: int) -> str:
+        while place:
+            if (title := _title(self.text[place])) is not None:
+                return title
+            place = self.preceding[place]
+        return BEFORE_HEADINGS
+
+    def find(self, wanted: list[str], section: str) -> list[int]:
+        """The places of a run of blocks: the only one in its section, else the only one in the book, else none."""
+        runs = [self.run(k, len(wanted)) for k in self.places.get(wanted[0], ())] if wanted else []
+        runs = [r for r in runs if [self.text[k] for k in r] == wanted]
+        own = [r for r in runs if self.section(r[0]) == section]
+        return own[0] if len(own) == 1 else runs[0] if len(runs) == 1 else []
+
+    def put(self, places: list[int], blocks: list[str]) -> None:
+        """Other blocks in the place of some that stand in a row."""
+        left, right = self.preceding[places[0]], self.following[places[-1]]
+        for k in places:
+            self.places[self.text.pop(k)].discard(k)
+        for t in blocks:
+            k, self.fresh = self.fresh, self.fresh + 1
+            self.text[k] = t
+            self.places.setdefault(t, set()).add(k)
+            self.following[left], self.preceding[k] = k, left
+            left = k
+        self.following[left], self.preceding[right] = right, left
+
+    def blocks(self) -> list[str]:
+        return [self.text[k] for k in self.run(self.following[0], len(self.text))]
+
+
+def replay_one(blocks: list[str], log: list[dict]) -> tuple[list[str], list[int], list[int]]:
+    """(blocks, applied, missed): corrections in order, each where its blocks stand once in its section, or once at all."""
+    draft, outcome = Draft(blocks), {True: [], False: []}
     for c in log:
         before, after = list(c["before"]), list(c["after"])
         if c["action"] == "spelling" or before == after:
             continue
-        n = len(before)
-        places = [i for i, b in enumerate(blocks) if n and b == before[0] and blocks[i : i + n] == before]
-        own = [i for i in places if titles[i] == c["section"]]
-        at = own[0] if len(own) == 1 else places[0] if len(places) == 1 else None
-        if at is None:
-            missed.append(c["ord"])
-            continue
-        heads = any(b.startswith("#") for b in [*before, *after])
-        blocks[at : at + n] = after
-        titles = _titles(blocks) if heads else titles[:at] + [titles[at]] * len(after) + titles[at + n :]
-        applied.append(c["ord"])
-    return blocks, applied, missed
+        places = draft.find(before, c["section"])
+        if places:
+            draft.put(places, after)
+        outcome[bool(places)].append(c["ord"])
+    return draft.blocks(), outcome[True], outcome[False]
 
 
 def replay(blocks: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -139,34 +187,35 @@ def changed_headings(before: DataFrame, after: DataFrame) -> DataFrame:
     return pairs.join(broken, "book", "left_anti").where("_old <> title and pdf_a is not null").select("book", F.col("pdf_a").alias("pdf"), "title")
 
 
-def _undo(blocks: list[tuple], log: list[dict]) -> dict[int, str]:
-    """For each rule's entry, last first, the first block still free with the folded words of what it made; its own section's first."""
-    folded = lambda value: tuple(s[3] for s in word_spans(value or ""))
-    found: dict[int, str] = {}
-    held = [(idx, title, folded(value)) for idx, title, value in blocks]
-    for entry in sorted(log, key=lambda e: -e["ord"]):
-        want = folded(entry["after"])
-        free = [(title != entry["section"], idx) for idx, title, words in held if words == want and idx not in found]
-        if want and free:
-            found[min(free)[1]] = entry["before"]
-    return found
-
-
 def before_rules(blocks: DataFrame, log: DataFrame) -> DataFrame:
-    """(book, idx, text): a model's draft with the changes of its spelling rules taken back, a book a task.
+    """(book, idx, text): a model's draft with the changes of its spelling rules taken back.
 
     log: book, ord, section, before, after (arrays), reason, rule. Entries of a rule, or with a reason
-    that says so, count if they have one block before and after.
+    that says so, count if they have one block before and after. In order of the log, each takes the first block still
+    free that has the words of what it made, one of its own section before others. Blocks of other words don't
+    matter to it, so the words of a block are the group.
     """
     single = (F.size("before") == 1) & (F.size("after") == 1)
-    ruled = log.where(single & ((F.size("rule") > 0) | F.coalesce(F.lower("reason").contains("rule"), F.lit(False))))
-    entries = ruled.select("book", "ord", "section", F.col("before")[0].alias("before"), F.col("after")[0].alias("after"))
-    placed = with_sections(blocks).join(sections(blocks).select("book", "k", "title"), ["book", "k"]).select("book", "idx", "title", "text")
+    said = F.lit(False)
+    for phrase in RESPELLED:
+        said = said | F.contains(F.coalesce("reason", F.lit("")), F.lit(phrase))
+    ruled = log.where(single & ((F.size("rule") > 0) | said))
+    entries = ruled.select(
+        "book", fold_line(F.col("after")[0]).alias("key"), "ord", title_fold(F.col("section")).alias("section"), F.col("before")[0].alias("before")
+    )
+    titles = sections(blocks).select("book", "k", title_fold(F.col("title")).alias("section"))
+    placed = with_sections(blocks).join(titles, ["book", "k"], "left")
+    keyed = placed.select("book", fold_line(F.col("text")).alias("key"), "idx", F.coalesce("section", F.lit("")).alias("section"))
 
     def run(key, b: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        rows = list(b.sort_values("idx")[["idx", "title", "text"]].itertuples(index=False, name=None))
-        taken = _undo(rows, e.to_dict("records"))
-        return pd.DataFrame([(key[0], idx, taken.get(idx, value)) for idx, _, value in rows], columns=["book", "idx", "text"])
-
-    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns]).groupBy("book")
-    return fresh(placed).cogroup(fresh(entries)).applyInPandas(run, "book string, idx long, text string")
+        free = list(b.sort_values("idx")[["section", "idx"]].itertuples(index=False, name=None))
+        out = []
+        for section, before in e.sort_values("ord")[["section", "before"]].itertuples(index=False, name=None):
+            if free:
+                taken = min(free, key=lambda f: (f[0] != section, f[1]))
+                free.remove(taken)
+                out.append((key[0], taken[1], before))
+        return pd.DataFrame(out, columns=["book", "idx", "before"])
+
+    undone = keyed.groupBy("book", "key").cogroup(entries.groupBy("book", "key")).applyInPandas(run, "book string, idx long, before string")
+    return blocks.join(undone, ["book", "idx"], "left").select("book", "idx", F.coalesce("before", "text").alias("text"))

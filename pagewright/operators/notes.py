@@ -31,20 +31,23 @@ def call_candidates(segments: DataFrame) -> DataFrame:
 
 
 def heaviest_run(numbers: list[int], weights: list[float]) -> list[int]:
-    """Places of the run of increasing numbers with the greatest weight; the earliest on ties."""
-    total: list[float] = []
-    source: list[int] = []
-    for j, n in enumerate(numbers):
-        best, at = weights[j], -1
-        for i in range(j):
-            if numbers[i] < n and total[i] + weights[j] > best:
-                best, at = total[i] + weights[j], i
-        total.append(best)
-        source.append(at)
-    places, j = [], total.index(max(total)) if total else -1
-    while j >= 0:
-        places.append(j)
-        j = source[j]
+    """Places of the run of increasing numbers with the greatest weight; the earliest on ties.
+
+    For each number the best run that ends with it so far is kept, which a later, larger number goes on from.
+    """
+    ends: dict[int, tuple[float, int]] = {}
+    came_from: dict[int, int | None] = {}
+    for place, (number, weight) in enumerate(zip(numbers, weights, strict=True)):
+        below = [(-total, last) for n, (total, last) in ends.items() if n < number]
+        lost, last = min(below, default=(0.0, None))
+        came_from[place] = last
+        if weight - lost > ends.get(number, (0.0, 0))[0]:
+            ends[number] = (weight - lost, place)
+    at = min(((-total, last) for total, last in ends.values()), default=(0.0, None))[1]
+    places = []
+    while at is not None:
+        places.append(at)
+        at = came_from[at]
     return places[::-1]
 
 
@@ -120,10 +123,23 @@ def audit(blocks: DataFrame) -> DataFrame:
 
 
 def synced(raw: DataFrame, current: DataFrame) -> DataFrame:
-    """(book, note_id, change): how definitions and calls of a corrected book differ from the raw one's."""
-    a, b = definitions(raw).select("book", "note_id", F.col("text").alias("before")), definitions(current).select("book", "note_id", F.col("text").alias("after"))
-    changed = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").when(F.col("before") != F.col("after"), "edited")
-    return a.join(b, ["book", "note_id"], "full").withColumn("change", changed).where("change is not null")
+    """(book, note_id, change): how a corrected book's definitions differ from the raw one's, and calls that came or went.
+
+    change: added, removed or edited for a definition; called or uncalled where it is defined in both alike.
+    """
+    a = definitions(raw).select("book", "note_id", F.col("text").alias("before"))
+    b = definitions(current).select("book", "note_id", F.col("text").alias("after"))
+    was = calls(raw).groupBy("book", "note_id").agg(F.count(F.lit(1)).alias("n_before"))
+    now = calls(current).groupBy("book", "note_id").agg(F.count(F.lit(1)).alias("n_after"))
+    met = a.join(b, ["book", "note_id"], "full").join(was, ["book", "note_id"], "full").join(now, ["book", "note_id"], "full")
+    change = (
+        F.when(F.col("before").isNull() & F.col("after").isNotNull(), "added")
+        .when(F.col("after").isNull() & F.col("before").isNotNull(), "removed")
+        .when(F.col("before") != F.col("after"), "edited")
+        .when(F.col("n_before").isNull() & F.col("n_after").isNotNull(), "called")
+        .when(F.col("n_after").isNull() & F.col("n_before").isNotNull(), "uncalled")
+    )
+    return met.select("book", "note_id", "before", "after", change.alias("change")).where("change is not null")
 
 
 def counts_by_scope(notes: DataFrame) -> DataFrame:
