@@ -57,6 +57,13 @@ SYLLABLE = (
 SYLLABLES = ("gi", "gin")
 
 
+#: What the website's Markdown leaves out, how notes are called by number and pages referred to (fixed patterns of those formats).
+UNSUPPORTED_INLINE = r"[*_`|\\]|<[A-Za-z/!]|\]\("
+UNSUPPORTED_LINE = r"(?m)^(?:[+] |\d+[.)] |-{3,}\s*$)"
+NUMBER_CALLED = r"(?<=\S)\((\d{1,2})\)"
+PAGE_REFERRED = r"\[tr\.\s*(\d+)\]"
+
+
 def without_marks(c: Column) -> Column:
     """Base letters; case stays."""
     return F.translate(c, MARKED, BASE)
@@ -187,7 +194,7 @@ def website_dialect(block: Column, closing: Column | None = None) -> Column:
 
 def unsupported_markdown(block: Column) -> Column:
     """What the website would show wrongly: other headings than level 3, emphasis, code, links, tables, lists, rules."""
-    inline = block.rlike(r"[*_`|\\]|<[A-Za-z/!]|\]\(") | block.rlike(r"(?m)^(?:[+] |\d+[.)] |-{3,}\s*$)")
+    inline = block.rlike(UNSUPPORTED_INLINE) | block.rlike(UNSUPPORTED_LINE)
     return F.when(heading_level(block) > 0, heading_level(block) != 3).otherwise(inline)
 
 
@@ -198,12 +205,12 @@ def note_calls(c: Column) -> Column:
 
 def numbers_called(c: Column) -> Column:
     """(n) right after text, as numbers."""
-    return F.transform(F.regexp_extract_all(c, F.lit(r"(?<=\S)\((\d{1,2})\)"), 1), lambda x: x.cast("int"))
+    return F.transform(F.regexp_extract_all(c, F.lit(NUMBER_CALLED), 1), lambda x: x.cast("int"))
 
 
 def pages_referred(c: Column) -> Column:
     """[tr. n] references, as numbers."""
-    return F.transform(F.regexp_extract_all(c, F.lit(r"\[tr\.\s*(\d+)\]"), 1), lambda x: x.cast("int"))
+    return F.transform(F.regexp_extract_all(c, F.lit(PAGE_REFERRED), 1), lambda x: x.cast("int"))
 
 
 def escaped_line(line: Column) -> Column:
@@ -227,6 +234,12 @@ def section_story(title: Column) -> Column:
     return F.struct(blank(part(1)).cast("int").alias("number"), part(2).alias("name"), blank(part(3)).alias("subtitle"))
 
 
+def heading_read(comment: Column) -> Column:
+    """The model's own reading of a heading in a page comment, null where there is none."""
+    found = F.regexp_extract(comment, r"heading:\s*(.*?)\s*-->", 1)
+    return F.when(comment.startswith("<!--") & (found != ""), found)
+
+
 def content_version(c: Column) -> Column:
     """The first twelve digits of a text's sha1: what an edit must name to be applied."""
     return F.substring(F.sha1(c.cast("binary")), 1, 12)
@@ -247,5 +260,10 @@ def roman_value(c: Column) -> Column:
 
 
 def without_noise(c: Column) -> Column:
-    """A row without the specks that OCR reads before its first word: marks, and single letters among them."""
-    return F.btrim(F.regexp_replace(c, r"^(?:[^\p{L}\p{N}\s]+\s*|\p{Ll}\s+(?=[^\p{L}\p{N}\s]))+", ""))
+    """A row without the specks that OCR reads before its first word.
+
+    Those are words without a letter or digit, single letters that aren't capitals, and a single capital before the
+    number of an item; the last word of a row goes only if it has neither letter nor digit.
+    """
+    speck = r"[^\p{L}\p{N}\s]+(?:\s+|$)|(?!\p{Lu})\p{L}\s+(?=\S)|\p{Lu}\s+(?=\d{1,3}[.,:)])"
+    return F.regexp_replace(collapsed(c), f"^(?:{speck})+", "")

@@ -147,25 +147,35 @@ def unique_ids(named: DataFrame) -> DataFrame:
     return slugs.groupBy("book").applyInPandas(_suffixed, "book string, ord long, id string")
 
 
+#: What a digit may have been read for (fixed values of the print).
+CONFUSED = {"8": "630", "6": "85", "3": "8", "5": "63", "1": "7", "7": "1", "0": "86"}
+
+
+def one_slip_away(page: int) -> set[int]:
+    """Numbers that one slip makes of a page number: a digit too many, or one read for another."""
+    digits = str(page)
+    cut = {digits[:i] + digits[i + 1 :] for i in range(len(digits))} if len(digits) > 1 else set()
+    swapped = {digits[:i] + d + digits[i + 1 :] for i, c in enumerate(digits) for d in CONFUSED.get(c, "")}
+    return {int(x) for x in cut | swapped}
+
+
 def _monotone(group: pd.DataFrame) -> pd.DataFrame:
-    """Pages that must rise: one that doesn't is read again with one digit changed, if just one such reading fits."""
-    group = group.sort_values("ord")
-    read = [None if pd.isna(p) else int(p) for p in group["printed_page"]]
-    fixed: list[int | None] = []
-    for k, page in enumerate(read):
-        low = max((p for p in fixed if p is not None), default=0)
-        later = [p for p in read[k + 1 :] if p is not None and p >= low]
-        high = min(later[:2], default=10_000)
-        if page is not None and not low <= page <= high:
-            digits = str(page)
-            slips = {int(digits[:i] + d + digits[i + 1 :]) for i in range(len(digits)) for d in "0123456789"}
-            fits = sorted(s for s in slips if low <= s <= high and s)
+    """Pages that must rise: one not between its neighbours is read again, if just one reading a slip away lies there."""
+    pages = [None if pd.isna(p) else int(p) for p in group.sort_values("ord")["printed_page"]]
+    following: list[float] = [float("inf")]
+    for page in reversed(pages[1:]):
+        following.append(page or following[-1])
+    low, out = 0, []
+    for page, high in zip(pages, reversed(following), strict=True):
+        if page is not None and not low < page < high:
+            fits = [x for x in one_slip_away(page) if low < x < high]
             page = fits[0] if len(fits) == 1 else None
-        fixed.append(page)
-    return pd.DataFrame({"book": group["book"], "ord": group["ord"], "page": pd.array(fixed, dtype="Int64")})
+        out.append(page)
+        low = page or low
+    return pd.DataFrame({"book": group["book"], "ord": sorted(group["ord"]), "page": pd.array(out, dtype="Int64")})
 
 
 def repaired_pages(entries: DataFrame) -> DataFrame:
-    """(book, ord, page): the printed pages of contents entries, made to rise; null where no single slip explains one."""
+    """(book, ord, page): the printed pages of contents entries, made to rise; null where not just one slip explains one."""
     needed = entries.select("book", F.col("ord").cast("long").alias("ord"), F.col("printed_page").cast("long").alias("printed_page"))
     return needed.groupBy("book").applyInPandas(_monotone, "book string, ord long, page long")

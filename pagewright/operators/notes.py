@@ -168,3 +168,18 @@ def headword_evidence(notes: DataFrame, segments: DataFrame) -> DataFrame:
     place = F.expr("locate(_w, text)") + F.length("_w") - 1
     found = met.groupBy("book", "note_id").agg(F.sum(times).alias("_n"), F.min(F.struct("page", "seq", place.alias("start"))).alias("_f"))
     return found.where("_n = 1").select("book", "note_id", "_f.*")
+
+
+def rendered_definitions(notes: DataFrame) -> DataFrame:
+    """(book, scope, text): the Markdown of each scope's notes, in order of their numbers.
+
+    notes: book, scope, number, id, text, first, last (PDF pages), called_on (page, null where the call isn't found), flagged.
+    """
+    where = F.when(F.col("called_on").isNull(), "call not found").otherwise(F.concat(F.lit("called on pdf "), F.col("called_on").cast("string")))
+    plain = F.regexp_replace("text", "<(?=[A-Za-z/!])", "&lt;")
+    flag = F.when(F.col("flagged"), " ⚠").otherwise("")
+    pages = text.page_label(F.col("first"), F.col("last"))
+    line = F.concat(F.lit("[^"), "id", F.lit("]: "), plain, flag, F.lit(" <!-- note pdf "), pages, F.lit(" · "), where, F.lit(" -->"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("number", line.alias("line")))), lambda x: x["line"])
+    whole = F.concat_ws("\n", F.lit("**Chú thích:**"), F.lit(""), F.array_join(lines, "\n"))
+    return notes.groupBy("book", "scope").agg(whole.alias("text"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import blocks, corrections, notes, pages, quality, ranges, rows, spelling, toc
+from ..operators import blocks, corrections, inventory, notes, pages, quality, ranges, rows, spelling, toc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,9 @@ def words_sql(c: str) -> str:
     return f"list_filter(string_split({collapsed_sql(c)}, ' '), lambda w: w <> '')"
 
 
+#: Words as runs of letters, case folded.
+LETTER_WORDS = r"regexp_extract_all(replace(lower(text), 'ß', 'ss'), '\p{L}+')"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -246,13 +249,13 @@ def split_and_kinds(spark, sf_dir):
 
 
 @_query(f"""
-WITH {ROWS_SQL} SELECT book, word, count(*) AS n FROM (SELECT book, unnest({words_sql("lower(text)")}) AS word FROM r) GROUP BY book, word""")
+WITH {ROWS_SQL} SELECT book, word, count(*) AS n FROM (SELECT book, unnest({LETTER_WORDS}) AS word FROM r) GROUP BY book, word""")
 def word_lexicon(spark, sf_dir):
     return quality.unigrams(page_rows(spark, sf_dir))
 
 
 @_query(f"""
-WITH {ROWS_SQL}, w AS (SELECT book, {words_sql("lower(text)")} AS w FROM r),
+WITH {ROWS_SQL}, w AS (SELECT book, {LETTER_WORDS} AS w FROM r),
 p AS (SELECT book, unnest(w[1:len(w) - 1]) AS word, unnest(w[2:len(w)]) AS next FROM w WHERE len(w) > 1)
 SELECT book, word, next, count(*) AS n FROM p GROUP BY book, word, next""")
 def bigram_lexicon(spark, sf_dir):
@@ -367,12 +370,10 @@ def best_match(spark, sf_dir):
 SELECT d.source AS book, count(*) AS n, count(l.doc_id) AS labelled, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.source""")
 def status_counts(spark, sf_dir):
-    label = _read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "_id")
-    d = _read(spark, sf_dir, "documents")
-    joined = d.join(label, d["doc_id"] == label["_id"], "left")
-    return joined.groupBy(F.col("source").alias("book")).agg(
-        F.count(F.lit(1)).alias("n"), F.count("_id").alias("labelled"), F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("toxic") == 1).alias("toxic")
-    )
+    d = _read(spark, sf_dir, "documents").select(F.col("source").alias("book"), F.col("doc_id").alias("page"))
+    done = d.join(_read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "page"), "page")
+    stages = {"n": d, "labelled": done, "good": done.where("quality = 1"), "toxic": done.where("toxic = 1")}
+    return inventory.progress(d.select("book").distinct(), stages)
 
 
 @_query(r"""
@@ -385,7 +386,11 @@ def website_blocks(spark, sf_dir):
     return d.select("doc_id", text.website_dialect(F.col("text")).alias("text"), text.unsupported_markdown(F.col("text")).alias("unsupported"))
 
 
-@_query()
+@_query("""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+g AS (SELECT l.doc_id, l.l, len(list_filter(l.l, lambda x: x = l.l[1])) = 1 AND l.doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS gone FROM l),
+k AS (SELECT doc_id, CASE WHEN gone THEN l[2:] ELSE l END AS l FROM g)
+SELECT cast(doc_id AS VARCHAR) AS book, unnest(range(0, len(l))) AS idx, unnest(l) AS text FROM k""")
 def correction_replay(spark, sf_dir):
     """Every document of low quality loses its first line; its other lines stay."""
     d = _read(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").cast("string").alias("book"), F.col("doc_id"), F.split("text", "\n").alias("l"))

@@ -5,6 +5,7 @@ A schema is never inferred: a key that a file leaves out is null. Paths go to Sp
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,15 +38,25 @@ def tesseract_words(spark: SparkSession, path: str) -> DataFrame:
     """Word tables as Tesseract writes them: tab separated, without quoting; one file a page."""
     words = spark.read.schema(TSV).option("sep", "\t").option("quote", "").option("header", True).csv(path)
     number = text.page_number(F.regexp_extract(F.input_file_name(), r"(p\d{4})\.tsv$", 1))
-    return words.select(book_of_path().alias("book"), number.alias("page"), "*")
+    named = words.select(book_of_path().alias("book"), number.alias("page"), "*")
+    # the page's own row, of level 1, says how large the page is
+    page = Window.partitionBy("book", "page")
+    size = lambda c: F.max(F.when(F.col("level") == 1, F.col(c))).over(page)
+    return named.withColumn("width", size("width_px")).withColumn("height", size("height_px"))
 
 
 def correction_log(spark: SparkSession, path: str) -> DataFrame:
     """A log of one JSON object a line, in its order; blank lines are no entries.
 
-    Order comes from the place in the file, so a log is read by whole files.
+    Order comes from the place in the file, so a log is read by whole files. A book without a log has no entries.
     """
-    files = spark.read.text(path, wholetext=True).select(book_of_path().alias("book"), F.posexplode(F.split("value", r"\r?\n")).alias("ord", "_line"))
+    try:
+        whole = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"book string, ord long, {LOG}")
+    files = whole.select(book_of_path().alias("book"), F.posexplode(F.split("value", r"\r?\n")).alias("ord", "_line"))
     return files.where("trim(_line) <> ''").select("book", F.col("ord").cast("long").alias("ord"), F.from_json("_line", LOG).alias("_e")).select("book", "ord", "_e.*")
 
 
@@ -81,6 +92,14 @@ def resolved_books(books: DataFrame, name: str) -> DataFrame:
     return books.withColumn("_any", any_exact).where(exact | (~F.col("_any") & F.col("book").contains(name))).drop("_any")
 
 
+def resolved_book(books: DataFrame, name: str) -> str:
+    """The one book of a name; an error says which there are instead."""
+    found = [r.book for r in resolved_books(books, name).select("book").orderBy("book").limit(20).collect()]
+    if len(found) != 1:
+        raise LookupError(f"{name}: " + (f"several books, {', '.join(found)}" if found else "no such book"))
+    return found[0]
+
+
 def split_files(spark: SparkSession, path: str, root: str) -> DataFrame:
     """Split PDFs under a root by their folders: path, ethnic group, collection and version (null one folder higher)."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
