@@ -1,22 +1,23 @@
 """Substring dedup: seed and extend over winnowed anchors.
 
-Seeds: each text keeps the minimum k-gram hash of every sliding window; anchors that start in two
+Seeds: each text keeps the minimum k-gram hash of every sliding window (its anchors); anchors that stand in two
 documents or more are seeds. Any run of `length` words that two documents share holds a seed.
-Extension: around each seed every window of `length` words that covers it is hashed, windows are
-grouped by content with the smallest document of each, and windows that also start in a smaller
+Join: each occurrence of a seed meets the occurrence in the smallest document that has it, and the match is extended both
+ways: as far as windows of `length` words around the seed are equal. What an occurrence has beyond that, other documents
+with the seed may share; there windows are grouped by content, with the smallest document of each. Matched windows of a
 document chain into maximal repeats, whose words are removed.
 
-Grouping windows by content replaces document pairs: a passage that a third of all documents share
-costs a row per occurrence, a map-side minimum, and a join that Spark can split where it is hot.
+So a passage that a third of all documents share costs a row for each seed in it and document, a map-side minimum, and a join
+that Spark can split where it is hot; no two of its documents are paired with each other.
 
 Equal texts are settled as wholes before that: copies of a smaller document lose all their words.
 
-Windows are told apart by 96 bits of hash. Seeds, and the keys of copied or shortened texts, reach
+Windows are told apart by 128 bits of hash, the seed's and their own. Seeds, and the keys of copied or shortened texts, reach
 later passes as filters of fixed size; where one fills up, more rows move and the result stays the same.
 
 Defined cases: null or wordless text has no words; texts under `length` words lose nothing; rows
 with equal doc_id never remove each other's words; a null doc_id neither removes nor loses any;
-repeated rows get the same result each; an empty table gives an empty result.
+repeated rows get the same result each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from .common import (
     bitmap,
     in_bitmap,
     materialise,
+    minima,
+    mix,
     run_hashes,
     small_batches,
     text_or_empty,
@@ -45,11 +48,12 @@ from .common import (
 )
 
 LENGTH = 13
-K = 5
+#: Words of an anchor: short enough for few anchors, long enough that texts seldom share one by chance.
+K = 7
 FILTER_BITS = 26
 #: Bits of the filters of text keys.
 COPY_BITS = 24
-HASH_SEED = 1
+SEEDED = "anchor long, doc_id long, key32 int, windows array<long>"
 
 
 def _parts(batch: pa.RecordBatch, skip) -> Iterator[tuple]:
@@ -75,38 +79,38 @@ def _anchors(skip, k: int, w: int):
     return mapped
 
 
-def _windows(filter_, skip, length: int, k: int, w: int):
-    """Windows whose own minimum k-gram is a seed: the k-grams of a window are just those of one winnowing window."""
+def _seeded(filter_, skip, length: int, k: int, w: int):
+    """A row for each seed of a text: the windows of `length` words whose own minimum k-gram it is, in order."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_.value
         for batch in batches:
             for words, ids, keys in _parts(batch, skip):
                 whole, inside = run_hashes(words.hashes, words.doc, length)
-                n = len(whole)
-                if not n:
+                if not len(whole):
                     continue
                 grams, _ = run_hashes(words.hashes, words.doc, k)
-                low = grams[:n].copy()
-                for j in range(1, w):
-                    np.minimum(low, grams[j : j + n], out=low)
-                starts = np.flatnonzero(in_bitmap(bits, low) & inside)
-                second, _ = run_hashes(words.hashes, words.doc, length, HASH_SEED)
-                # a text that says a window again and again has it once here
-                order = starts[np.lexsort((whole[starts], words.doc[starts]))]
-                h, doc = whole[order], words.doc[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                starts = order[new]
-                doc = words.doc[starts]
+                seed = minima(grams, len(whole), w)
+                starts = np.flatnonzero(inside & in_bitmap(bits, grams[seed]))
+                if not len(starts):
+                    continue
+                # windows of one seed stand in a row; a text that repeats such a row has it once here
+                first = np.flatnonzero(np.r_[True, seed[starts[1:]] != seed[starts[:-1]]])
+                sizes = np.diff(np.r_[first, len(starts)])
+                row = mix(np.add.reduceat(whole[starts], first) + sizes.astype(U))
+                _, once = np.unique(mix(row + words.doc[starts[first]].astype(U)), return_index=True)
+                ends = np.r_[0, np.cumsum(sizes[once])]
+                values = starts[np.arange(ends[-1]) + np.repeat(first[once] - ends[:-1], sizes[once])]
+                at = starts[first[once]]
+                doc = words.first + words.doc[at]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(whole[starts].view(np.int64)),
-                        pa.array((second[starts] >> U(32)).astype(np.uint32).view(np.int32)),
-                        pa.array(ids[words.first + doc], pa.int64()),
-                        pa.array(keys[words.first + doc].astype(np.int32)),
+                        pa.array(grams[seed[at]].view(np.int64)),
+                        pa.array(ids[doc], pa.int64()),
+                        pa.array(keys[doc].astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(whole[values].view(np.int64))),
                     ],
-                    ["h", "h2", "doc_id", "key32"],
+                    ["anchor", "doc_id", "key32", "windows"],
                 )
 
     return mapped
@@ -137,7 +141,7 @@ def _kept(length: int, skip=None):
         for batch in batches:
             if skip is not None:
                 batch = batch.filter(pa.array(~in_bitmap(skip.value, batch["text_key"].to_numpy().view(U))))
-            n_words, n_removed, texts = [], [], []
+            n_words, n_removed, texts, spans = [], [], [], []
             windows = batch["windows"] if skip is None else None
             copies = batch["copy"].to_pylist() if skip is None else None
             for words in word_slices(batch["text"], SPACED):
@@ -145,19 +149,22 @@ def _kept(length: int, skip=None):
                 counts = np.diff(b).tolist()
                 for i in range(words.n_docs):
                     # bytes.split() cuts at the same six characters as the words' pattern
-                    parts = words.text(i).split()
+                    parts, repeats_ = words.text(i).split(), []
                     if skip is None:
                         if copies[words.first + i] and counts[i] >= length:
-                            parts = []
+                            parts, repeats_ = [], [(0, counts[i])]
                         elif (gone := windows[words.first + i]).is_valid and len(gone):
                             first = int(b[i])
                             whole, _ = run_hashes(words.hashes[first : first + counts[i]], words.doc[first : first + counts[i]], length)
                             at = np.flatnonzero(np.isin(whole, gone.values.to_numpy().view(U)))
                             out = covered(at, counts[i], length)
+                            edges = np.flatnonzero(np.diff(np.r_[False, out, False].astype(np.int8)))
+                            repeats_ = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
                             parts = [p for p, x in zip(parts, out.tolist(), strict=True) if not x]
                     n_words.append(counts[i])
                     n_removed.append(counts[i] - len(parts))
                     texts.append(b" ".join(parts))
+                    spans.append([{"start": a, "stop": z} for a, z in repeats_])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
@@ -165,14 +172,15 @@ def _kept(length: int, skip=None):
                     pa.array(n_removed, pa.int64()),
                     pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
                     pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string()),
+                    pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
                 ],
-                KEPT.replace(" long", "").replace(" string", "").split(", "),
+                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "repeats"],
             )
 
     return mapped
 
 
-KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, repeats array<struct<start int, stop int>>"
 TEXTS = "doc_id long, text_key long, text string"
 
 
@@ -208,12 +216,23 @@ def repeats(documents: DataFrame, length: int = LENGTH, k: int = K, filter_bits:
         .where("low < high")
     )
     filter_ = worker_broadcast(spark, bitmap(seeds.select("anchor"), "anchor", filter_bits))
-    windows = scanned(lambda skip: _windows(filter_, skip, length, k, w), "h long, h2 int, doc_id long, key32 int")
-    lowest = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
-    # written, so that both sides of the join are plain shuffles and a hot window can be split
-    lowest = materialise(lowest, "lowest")
-    later = windows.join(lowest, ["h", "h2"]).where(F.col("doc_id") > F.col("low"))
-    cut = later.groupBy("doc_id", "key32").agg(F.collect_set("h").alias("windows"))
+    found = materialise(scanned(lambda skip: _seeded(filter_, skip, length, k, w), SEEDED), "seeds")
+    # written, so that the choice among occurrences in one document is made once, and a hot seed's join can be split
+    lowest = found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min_by("windows", "doc_id").alias("_low"))
+    lowest = materialise(lowest.where("low < high").drop("high"), "first-occurrences")
+    matched = found.join(lowest, "anchor").select(
+        "anchor",
+        "doc_id",
+        "key32",
+        F.when(F.col("doc_id") > F.col("low"), F.array_intersect("windows", "_low")).alias("windows"),
+        F.array_except("windows", "_low").alias("_rest"),
+    )
+    matched = materialise(matched, "matches")
+    rest = matched.select("anchor", "doc_id", "key32", F.explode("_rest").alias("h"))
+    shared = rest.groupBy("anchor", "h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    later = rest.join(materialise(shared, "shared-windows"), ["anchor", "h"]).where(F.col("doc_id") > F.col("low"))
+    every = matched.where(F.size("windows") > 0).select("doc_id", "key32", "windows").unionAll(later.select("doc_id", "key32", F.array("h").alias("windows")))
+    cut = every.groupBy("doc_id", "key32").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"))
     copies = keys.join(groups, ["text_key", "key2"]).where(F.col("doc_id") > F.col("low")).select("doc_id", "text_key").distinct()
     # the key's low half is enough to tell rows of one doc_id apart
     looked = docs.select("doc_id", "text_key", F.expr("cast(shiftright(shiftleft(text_key, 32), 32) as int)").alias("key32"))
@@ -222,7 +241,8 @@ def repeats(documents: DataFrame, length: int = LENGTH, k: int = K, filter_bits:
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """Per row of documents: doc_id, n_words, n_removed, kept_sha256, kept_text (words joined by one space).
+    """Per row of documents: doc_id, n_words, n_removed, kept_sha256, kept_text (words joined by one space), repeats (the
+    maximal runs of words that were removed).
 
     Only texts that may lose words are shuffled; a filter of fixed size tells them apart.
     """
