@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 # Rows of an Arrow batch: a batch holds whole texts, so its rows bound a worker's memory.
 BATCH_ROWS = 512
 # Bytes of text hashed in one go; a longer text is taken alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -177,6 +177,17 @@ def run_hashes(hashes: np.ndarray, doc: np.ndarray, k: int, seed: int = 0) -> tu
     return mix(h), doc[:n] == doc[k - 1 : k - 1 + n]
 
 
+def minima(grams: np.ndarray, n: int, w: int) -> np.ndarray:
+    """The place of the least (leftmost on ties) of w hashes from each of the first n places on."""
+    low, at = grams[:n].copy(), np.zeros(n, np.int8)
+    for j in range(1, w):
+        x = grams[j : j + n]
+        less = x < low
+        np.copyto(low, x, where=less)
+        at[less] = j
+    return np.arange(n) + at
+
+
 def winnow(grams: np.ndarray, doc: np.ndarray, k: int, w: int) -> np.ndarray:
     """Positions of the minimum (leftmost on ties) of each w consecutive k-gram hashes inside one text.
 
@@ -186,14 +197,8 @@ def winnow(grams: np.ndarray, doc: np.ndarray, k: int, w: int) -> np.ndarray:
     n = len(grams) - w + 1
     if n <= 0:
         return np.empty(0, np.int64)
-    low, at = grams[:n].copy(), np.zeros(n, np.int8)
-    for j in range(1, w):
-        x = grams[j : j + n]
-        less = x < low
-        np.copyto(low, x, where=less)
-        at[less] = j
     inside = doc[:n] == doc[w + k - 2 : w + k - 2 + n]
-    chosen = (np.arange(n) + at)[inside]
+    chosen = minima(grams, n, w)[inside]
     return chosen[np.r_[True, chosen[1:] != chosen[:-1]]] if len(chosen) else chosen
 
 

@@ -53,7 +53,7 @@ ROWS, BANDS = 5, 24
 #: Share of the texts from which on a shingle counts as frequent, and the weight that one in all texts has.
 FLOOR, LEAST = 0.01, 0.5
 #: Shingles that a task counts at once.
-CHUNK = 2_000_000
+CHUNK = 500_000
 #: Entries of the table of random variates.
 VARIATES = 1 << 16
 SEED = 20240229
@@ -88,15 +88,16 @@ def _whole(hashes: np.ndarray) -> int:
 class LocalCounts:
     """Counts of the shingles of a task's texts, each text's once, in bounded memory (lossy counting).
 
-    Whatever has been seen in under `share` of the texts so far may be dropped, so a count is short of the
-    true one by that share of the texts at most.
+    A shingle that at most a `share` of the texts so far can have had may be dropped. `n` counts it since it was last
+    taken up, and `before` is what it can have had by then.
     """
 
     def __init__(self, share: float, chunk: int = CHUNK):
         self.share, self.chunk = share, chunk
-        self.h, self.n, self.texts = np.empty(0, U), np.empty(0, np.int64), 0
+        self.h, self.n, self.before = np.empty(0, U), np.empty(0, np.int64), np.empty(0)
         self.held: list[np.ndarray] = []
-        self.size = 0
+        self.size = self.texts = 0
+        self.dropped = 0.0
 
     def add(self, h: np.ndarray, texts: int) -> None:
         self.held.append(h)
@@ -104,19 +105,27 @@ class LocalCounts:
         self.texts += texts
         if self.size >= self.chunk:
             self._merge()
-            stay = self.n > self.share * self.texts
-            self.h, self.n = self.h[stay], self.n[stay]
+            self.dropped = self.share * self.texts
+            stay = self.n + self.before > self.dropped
+            self.h, self.n, self.before = self.h[stay], self.n[stay], self.before[stay]
 
     def _merge(self) -> None:
         h, n = np.unique(np.concatenate([np.empty(0, U), *self.held]), return_counts=True)
-        self.h, at = np.unique(np.concatenate([self.h, h]), return_inverse=True)
-        self.n = np.bincount(at, np.concatenate([self.n, n]), len(self.h)).astype(np.int64)
         self.held, self.size = [], 0
+        at = np.searchsorted(self.h, h)
+        known = np.zeros(len(h), bool)
+        known[at < len(self.h)] = self.h[at[at < len(self.h)]] == h[at < len(self.h)]
+        self.n[at[known]] += n[known]
+        new = ~known
+        order = np.argsort(np.concatenate([self.h, h[new]]), kind="stable")
+        self.h = np.concatenate([self.h, h[new]])[order]
+        self.n = np.concatenate([self.n, n[new]])[order]
+        self.before = np.concatenate([self.before, np.full(int(new.sum()), self.dropped)])[order]
 
     def over(self, floor: float) -> np.ndarray:
         """All shingles that more than `floor` of the texts have, and no other that under `floor - share` of them have."""
         self._merge()
-        return self.h[self.n > (floor - self.share) * self.texts]
+        return self.h[self.n + self.before > floor * self.texts]
 
 
 def _locally_frequent(floor: float):
