@@ -3,7 +3,7 @@
 A profile is the list of a language's most frequent n-grams (1 to 3 characters, words padded with a
 blank) in order. A text is ranked the same way and goes to the language whose profile is nearest by
 out-of-place distance: the sum over the text's n-grams of how far each stands from its place in the
-profile, with the profile's length for an n-gram that isn't there.
+profile, with the profile's length for an n-gram that isn't there. N-grams of one frequency stand by length and characters.
 
 Learning counts words per language over all training rows (counts combine before the shuffle), then
 n-grams of the different words. A profile has `PROFILE` entries a language, so the learned model is
@@ -54,7 +54,7 @@ def profiles(documents: DataFrame, size: int = PROFILE) -> DataFrame:
         "lang", "n", F.explode(F.expr(f"flatten(array({cut}))")).alias("gram")
     )
     counted = grams.where("gram <> ' '").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
+    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.length("gram"), "gram")
     # the limit stands on the row number itself, so each task keeps its first ones before they meet
     first = counted.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= size)
     return first.select("lang", "gram", (F.col("_place") - 1).alias("rank"))
