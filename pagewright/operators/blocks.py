@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 
+#: The title of what stands before the first heading (fixed value).
 BEFORE_HEADINGS = "(trước tiêu đề)"
+#: Length of a probe (fixed value).
 PROBE = 16
 
 

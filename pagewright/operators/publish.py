@@ -9,6 +9,7 @@ from ..functions import text
 from .blocks import with_sections
 from .notes import audit, definitions, renumbered
 
+#: The section that opens a book, and what the web edition says of problems, in its own words (fixed values).
 PREFACE = "Lời giới thiệu"
 
 

@@ -387,3 +387,41 @@ def lexicon_scores(spark, sf_dir):
     r = page_rows(spark, sf_dir)
     asked = quality.bigrams(r).where("n >= 3").select("book", "word", "next")
     return quality.scores(asked, r).select("book", "word", "next", F.col("score").cast("double").alias("score"))
+
+
+@_query("""
+WITH p AS (SELECT event_type AS book, event_id AS page, CASE WHEN event_id % 4 > 0 THEN event_id - cast(floor(value) AS BIGINT) % 3 END AS printed FROM events)
+SELECT book, page, printed AS printed_page, CASE WHEN printed IS NOT NULL THEN EXISTS (SELECT 1 FROM p q WHERE q.book = p.book AND q.page <> p.page AND abs(q.page - p.page) <= 2 AND q.printed > 0 AND q.page - q.printed = p.page - p.printed) END AS agrees FROM p""")
+def neighbouring_numbers(spark, sf_dir):
+    k = F.col("event_id")
+    printed = F.when(k % 4 > 0, k - F.floor("value").cast("long") % 3)
+    p = _read(spark, sf_dir, "events").select(F.col("event_type").alias("book"), k.alias("page"), printed.alias("printed_page"))
+    agrees = F.when(F.col("printed_page").isNotNull(), F.coalesce("agrees", F.lit(False)))
+    return pages.supported_by_neighbours(p).select("book", "page", "printed_page", agrees.alias("agrees"))
+
+
+@_query("""
+SELECT p_brand AS book, min(p_size) AS pdf_start, max(p_size + p_partkey % 4) AS pdf_end FROM part GROUP BY p_brand""")
+def toc_roots(spark, sf_dir):
+    from ..operators import corrections
+
+    e = _entries(spark, sf_dir).select("book", F.col("p_size").cast("long").alias("pdf_start"), (F.col("p_size") + F.col("ord") % 4).alias("pdf_end"))
+    return corrections.toc_root(e).select("book", F.col("pdf_start").cast("int").alias("pdf_start"), "pdf_end")
+
+
+@_query(rf"""
+WITH {ROWS_SQL}, n AS (SELECT book, page, CASE WHEN row % 3 = 0 THEN text || ' .. ' || row ELSE text END AS t FROM r)
+SELECT book, page, avg(CASE WHEN regexp_matches(t, '\d{{1,4}}\W*$') THEN 1.0 ELSE 0.0 END::DOUBLE) AS share FROM n GROUP BY book, page""")
+def numbered_shares(spark, sf_dir):
+    t = F.when(F.col("row") % 3 == 0, F.concat("text", F.lit(" .. "), F.col("row").cast("string"))).otherwise(F.col("text"))
+    return toc.numbered_share(page_rows(spark, sf_dir).withColumn("text", t))
+
+
+@_query(r"""
+WITH p AS (SELECT p_partkey, p_name || '(' || p_size || ') and (' || p_partkey || ') as on [tr. ' || p_partkey || '] x' AS t FROM part)
+SELECT p_partkey, array_to_string(regexp_extract_all(t, '\S\((\d{1,2})\)', 1), ',') AS called, array_to_string(regexp_extract_all(t, '\[tr\.\s*(\d+)\]', 1), ',') AS referred FROM p""")
+def numbers_called(spark, sf_dir):
+    key = F.col("p_partkey").cast("string")
+    t = F.concat("p_name", F.lit("("), F.col("p_size").cast("string"), F.lit(") and ("), key, F.lit(") as on [tr. "), key, F.lit("] x"))
+    said = lambda c: F.array_join(c.cast("array<string>"), ",")
+    return _read(spark, sf_dir, "part").select("p_partkey", said(text.numbers_called(t)).alias("called"), said(text.pages_referred(t)).alias("referred"))
