@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -135,6 +135,49 @@ def edit(blocks: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     return done, commands.join(held, ["book", "idx", "version"], "left_anti")
 
 
+def joined_blocks(a: Column, b: Column) -> Column:
+    """Two blocks as one paragraph: a word that is broken at the end of the first goes on in the second; a mark on either stays."""
+    flag = r"\s*⚠$"
+    left, right = F.regexp_replace(a, flag, ""), F.regexp_replace(F.regexp_replace(b, flag, ""), r"^\\", "")
+    broken = left.rlike(r"\p{L}-$") & right.rlike(r"^\p{Ll}")
+    whole = F.when(broken, F.concat(left, right)).otherwise(F.concat(left, F.lit(" "), right))
+    return F.when(a.endswith("⚠") | b.endswith("⚠"), F.concat(whole, F.lit(" ⚠"))).otherwise(whole)
+
+
+def edit_blocks(blocks: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blocks, refused, log) after commands (book, idx, version, action, text), one a block, each as its editor saw it.
+
+    edit puts the blocks of a text in the place of one, none of a blank text; merge joins a block with the one behind it.
+    refused: commands with a problem. log: book, idx, action, before, after of what has changed. Blocks are numbered anew.
+    """
+    w = Window.partitionBy("book").orderBy("idx")
+    asked = commands.select("book", "idx", "version", "action", F.col("text").alias("_new"))
+    met = blocks.join(asked, ["book", "idx"], "left").withColumn("_next", F.lead("text").over(w)).withColumn("_next_asked", F.lead("action").over(w))
+    merge = F.col("action") == "merge"
+    problem = (
+        F.when(F.col("action").isNull(), None)
+        .when(F.col("version") != text.content_version(F.col("text")), "the block has changed")
+        .when(~F.col("action").isin("edit", "merge"), "unknown action")
+        .when(merge & F.col("_next").isNull(), "no block after this one")
+        .when(merge & F.col("_next_asked").isNotNull(), "the block after this one is asked for as well")
+    )
+    judged = met.withColumn("problem", problem)
+    good = F.col("action").isNotNull() & F.col("problem").isNull()
+    parts = F.filter(F.transform(F.split(F.replace("_new", F.lit("\r"), F.lit("")), "\n{2,}"), lambda x: F.btrim(x, F.lit("\n"))), lambda x: F.btrim(x) != "")
+    after = F.when(good & merge, F.array(joined_blocks(F.col("text"), F.col("_next")))).when(good, F.coalesce(parts, F.array().cast("array<string>")))
+    changed = judged.withColumn("after", after).withColumn("_merged", good & merge)
+    changed = changed.withColumn("_swallowed", F.coalesce(F.lag("_merged").over(w), F.lit(False)))
+    left = changed.where(~F.col("_swallowed"))
+    every = left.select("book", "idx", F.posexplode(F.coalesce("after", F.array("text"))).alias("_k", "text"))
+    done = every.select("book", (F.row_number().over(Window.partitionBy("book").orderBy("idx", "_k")) - 1).alias("idx"), "text")
+    before = F.when(merge, F.array("text", "_next")).otherwise(F.array("text"))
+    action = F.when(F.size("after") == 0, "delete").otherwise(F.col("action"))
+    log = left.where(F.col("after").isNotNull()).select("book", "idx", action.alias("action"), before.alias("before"), "after").where("before <> after")
+    unknown = asked.join(blocks.select("book", "idx"), ["book", "idx"], "left_anti").withColumn("problem", F.lit("no such block"))
+    columns = ["book", "idx", "version", "action", F.col("_new").alias("text"), "problem"]
+    return done, judged.where("problem is not null").select(*columns).unionByName(unknown.select(*columns)), log
+
+
 def final_toc(blocks: DataFrame, draft: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries, unknown): sections under the title with the draft's id and printed page, by first PDF page."""
     below = sections(blocks).where("level > 1")

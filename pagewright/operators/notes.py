@@ -183,3 +183,39 @@ def rendered_definitions(notes: DataFrame) -> DataFrame:
     lines = F.transform(F.array_sort(F.collect_list(F.struct("number", line.alias("line")))), lambda x: x["line"])
     whole = F.concat_ws("\n", F.lit("**Chú thích:**"), F.lit(""), F.array_join(lines, "\n"))
     return notes.groupBy("book", "scope").agg(whole.alias("text"))
+
+
+#: How a block of notes is titled, how its notes open, and digits that are misread there (fixed patterns of the print).
+BLOCK_TITLE = r"(?iu)^[^\p{L}\p{N}_]*ch[uú]\s*th[ií]ch[^\p{L}\p{N}_]*$"
+NOTE_OPENS = r"^[^\p{L}\p{N}_]{0,3}\(\s*([0-9lLIi|!¡]{0,3})\s*\)\s*"
+MISREAD_ONES = "lLIi|!¡"
+
+
+def note_blocks(segments: DataFrame) -> DataFrame:
+    """(book, block, number, read, fixed, text, pages, start_page, start_seq, flags): the notes of blocks that a title opens.
+
+    segments: book, page, seq, kind, text, flags, cut (true where another part begins). A block runs to a cut, a heading or the
+    next title, and has no notes if something else follows its title. Other rows go on with the note before them. Notes are
+    numbered from 1; `fixed` says that another number was read.
+    """
+    order = Window.partitionBy("book").orderBy("page", "seq")
+    titled = F.col("text").rlike(BLOCK_TITLE) | (text.letters_key(F.col("text")) == "chuthich")
+    opens = F.col("text").rlike(NOTE_OPENS)
+    numbered = segments.withColumn("_title", titled).withColumn("block", F.sum(titled.cast("int")).over(order)).where("block > 0")
+    inside = Window.partitionBy("book", "block").orderBy("page", "seq")
+    rows = numbered.withColumn("number", F.sum((opens & ~F.col("_title")).cast("int")).over(inside))
+    ends = ~F.col("_title") & (F.coalesce("cut", F.lit(False)) | (F.col("kind") == "heading") | (F.col("number") == 0))
+    held = rows.withColumn("_ended", F.max(ends.cast("int")).over(inside)).where("not _title and _ended = 0")
+    said = F.when(opens, F.btrim(F.regexp_replace("text", NOTE_OPENS, ""))).otherwise(F.btrim("text"))
+    read = F.regexp_extract("text", NOTE_OPENS, 1)
+    marked = held.withColumn("_said", said).withColumn("_read", F.when(opens, read)).withColumn("_at", F.struct("page", "seq"))
+    out = marked.groupBy("book", "block", "number").agg(
+        F.min_by("_read", "_at").alias("read"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "seq", "_said"))), lambda x: x["_said"]), " ").alias("text"),
+        F.array_sort(F.collect_set("page")).alias("pages"),
+        F.min("_at").alias("_first"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("flags", F.array().cast("array<string>")))))).alias("flags"),
+    )
+    repaired = F.translate("read", MISREAD_ONES, "1" * len(MISREAD_ONES))
+    fixed = ~repaired.try_cast("int").eqNullSafe(F.col("number").cast("int"))
+    return out.select("book", "block", "number", "read", fixed.alias("fixed"), "text", "pages", F.col("_first.page").alias("start_page"), F.col("_first.seq").alias("start_seq"), "flags")
