@@ -2,6 +2,11 @@
 
 Five stages, each on all that its predecessor kept. A stage's rows are written as Parquet in the
 shared folder and read again, so a stage that fails is run again from whole input.
+
+Defined cases, for every stage: rows with a null doc_id pass through quality rules, decontamination and packing like others and are
+left alone by the two deduplications; a null text counts as empty, which the quality rules reject; repeated rows are judged
+alike (near dedup keeps or drops them together); an empty table gives an empty result with the same columns; columns of any other
+name are carried along, clashing ones too, up to packing, which returns pieces.
 """
 
 from __future__ import annotations
