@@ -425,3 +425,23 @@ def numbers_called(spark, sf_dir):
     t = F.concat("p_name", F.lit("("), F.col("p_size").cast("string"), F.lit(") and ("), key, F.lit(") as on [tr. "), key, F.lit("] x"))
     said = lambda c: F.array_join(c.cast("array<string>"), ",")
     return _read(spark, sf_dir, "part").select("p_partkey", said(text.numbers_called(t)).alias("called"), said(text.pages_referred(t)).alias("referred"))
+
+
+@_query(f"""
+WITH {ROWS_SQL}, b AS (SELECT book, max(page) AS page_count, CASE WHEN max(page) % 2 = 0 THEN max(page) - 30 END AS end_page FROM r GROUP BY book)
+SELECT book, page, cast(row AS BIGINT) AS row, row_number() OVER (PARTITION BY book ORDER BY page, row) - 1 AS place
+FROM r JOIN b USING (book) WHERE page BETWEEN 1 AND coalesce(end_page, page_count) AND page % 7 <> 0""")
+def book_stream(spark, sf_dir):
+    r = page_rows(spark, sf_dir).withColumnRenamed("row", "seq")
+    last = F.max("page")
+    books = r.groupBy("book").agg(last.alias("page_count"), F.when(last % 2 == 0, last - 30).alias("end_page"))
+    placed = pages.stream_of(r, books, r.where("page % 7 = 0"))
+    return placed.select("book", "page", F.col("seq").cast("long").alias("row"), F.col("place").cast("long").alias("place"))
+
+
+@_query(f"""
+WITH {ROWS_SQL}, t AS (SELECT * FROM r WHERE page % 3 = 0 AND length(text) > 30), p AS (SELECT DISTINCT book, page FROM t)
+SELECT book, page, cast(row AS BIGINT) AS row FROM t UNION ALL SELECT book, page, cast(row AS BIGINT) AS row FROM r ANTI JOIN p USING (book, page)""")
+def preferred_rows(spark, sf_dir):
+    r = page_rows(spark, sf_dir)
+    return toc.preferred_rows(r, r.where("page % 3 = 0 and length(text) > 30")).select("book", "page", *_long("row"))
