@@ -60,6 +60,11 @@ FURNITURE = frozenset(
 )
 #: Such words that open an article's own header, where it may stand.
 HEADER = frozenset(["header", "banner"])
+#: Of those, words that also name parts of a story: inside an article they count only in a name that says nothing else,
+AMBIGUOUS = frozenset("search share social related notice notices respond reply replies discussion alert menu promotion register recommendations".split())
+#: for which these say nothing.
+PLAIN = frozenset("bar block box btn button buttons container content div entries entry form group icons inner item items link links list main more nav news "
+                  "panel post posts row section stories story title top bottom left right wrap wrapper article articles area page site".split())
 NEGATED = frozenset(["no", "not", "has", "with", "without"])
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -77,12 +82,14 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
+def _names(attributes: dict[str, str], inside: bool) -> set[str]:
     out: set[str] = set()
     for name in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).split():
-        words = [w.lower() for w in WORD.findall(name)]
+        words = {w.lower() for w in WORD.findall(name)}
+        if inside and any(not w.isdigit() for w in words - FURNITURE - PLAIN):
+            words -= AMBIGUOUS  # related-work is part of a story, related-posts is not
         if not NEGATED.intersection(words):  # with-sidebar says what stands beside an element
-            out.update(words)
+            out |= words
     return out
 
 
@@ -93,7 +100,7 @@ def _is_furniture(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     if tag in ("body", "html", "article", "main"):
         return False
-    names = _names(attributes)
+    names = _names(attributes, inside)
     if (tag == "header" or names & HEADER) and not inside:
         return True
     return bool(names & FURNITURE - (HEADER if inside else frozenset()))
