@@ -445,3 +445,14 @@ SELECT book, page, cast(row AS BIGINT) AS row FROM t UNION ALL SELECT book, page
 def preferred_rows(spark, sf_dir):
     r = page_rows(spark, sf_dir)
     return toc.preferred_rows(r, r.where("page % 3 = 0 and length(text) > 30")).select("book", "page", *_long("row"))
+
+
+@_query("""
+WITH e AS (SELECT p_brand AS book, CASE p_size % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'a/b' || p_size ELSE 'a/b' || p_size || '/c' || p_partkey END AS entry_id, p_partkey FROM part),
+s AS (SELECT book, entry_id, string_split(entry_id, '/') AS p FROM e)
+SELECT book, entry_id, array_to_string(p[1:n], '/') AS ancestor, cast(n AS INTEGER) AS depth FROM (SELECT *, unnest(range(1, len(p))) AS n FROM s)""")
+def entry_ancestors(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    path = F.when(F.col("p_size") % 3 == 0, "a").when(F.col("p_size") % 3 == 1, F.concat(F.lit("a/b"), size))
+    path = path.otherwise(F.concat(F.lit("a/b"), size, F.lit("/c"), F.col("p_partkey").cast("string")))
+    return toc.ancestors(_read(spark, sf_dir, "part").select(F.col("p_brand").alias("book"), path.alias("entry_id")))
