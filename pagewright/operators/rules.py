@@ -64,7 +64,7 @@ def changed_rules(rules: DataFrame, commands: DataFrame) -> tuple[DataFrame, Dat
     asked = commands.select("book", "kind", F.col("old").alias("spelling"), similarity.nfc(F.btrim("spelling")).alias("_new"), F.lit(True).alias("_asked"))
     known = rules.select("book", "kind", "spelling").distinct().withColumn("_known", F.lit(True))
     judged = asked.join(known, ["book", "kind", "spelling"], "left")
-    problem = F.when(F.col("_known").isNull(), "no such rule").when(fold_line(F.col("_new")) != fold_line(F.col("spelling")), "a rule changes marks, not letters")
+    problem = F.when(F.col("_known").isNull(), "no such rule").when(F.col("_new").isNotNull() & (fold_line(F.col("_new")) != fold_line(F.col("spelling"))), "a rule changes marks, not letters")
     judged = judged.withColumn("problem", problem)
     good = judged.where("problem is null").select("book", "kind", "spelling", "_new", "_asked")
     met = rules.join(good, ["book", "kind", "spelling"], "left").where("_asked is null or _new is not null")
@@ -99,5 +99,5 @@ def with_depends(depends: DataFrame, rules: DataFrame, commands: DataFrame) -> t
 
 def left_to_reader(words: DataFrame, depends: DataFrame) -> DataFrame:
     """Words (book, fold, ...) that depend: their spelling is decided from place to place."""
-    pairs = depends.select("book", fold_line(F.explode("spellings")).alias("fold")).distinct()
+    pairs = depends.select("book", F.explode("spellings").alias("_s")).select("book", fold_line(F.col("_s")).alias("fold")).distinct()
     return words.join(pairs, ["book", "fold"], "left_semi")
