@@ -10,7 +10,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, langid, linededup, neardup, packing, quality, sharding, substrings, warc
+from . import decontaminate, extract, fim, langid, linededup, mixing, neardup, packing, quality, sharding, substrings, trie, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_substrings": op10_substrings,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_mixing": op12_mixing,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -77,4 +92,7 @@ ORACLES: dict[str, str] = {
     "op3_quality": quality.quality_sql(),
     "op7_decontamination": decontaminate.decontaminate_sql(),
     "op10_substrings": substrings.dedup_sql(),
+    "op11_fill_in_middle": fim.fim_sql(),
+    "op12_mixing": mixing.mix_sql(),
+    "op13_prefix_trie": trie.trie_sql(),
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
