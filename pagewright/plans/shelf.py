@@ -240,6 +240,29 @@ def works_by_title(spark, sf_dir):
     return toc.match_works(_entries(spark, sf_dir, "p_size % 2 = 0"), _entries(spark, sf_dir, "p_size % 2 = 1"), threshold=1.0)
 
 
+#: Longest matching blocks of two strings, then of what is left and right of them, as difflib finds them; their share is the ratio.
+RATIO_SQL = """blocks(a, b, i0, i1, j0, j1, best) AS (
+  SELECT a, b, 0, length(a), 0, length(b), NULL::STRUCT(k BIGINT, i BIGINT, j BIGINT) FROM pairs
+  UNION ALL
+  SELECT a, b, r.i0, r.i1, r.j0, r.j1, best FROM (
+    SELECT a, b, best, unnest([{'i0': i0, 'i1': -best.i, 'j0': j0, 'j1': -best.j}, {'i0': best.k - best.i, 'i1': i1, 'j0': best.k - best.j, 'j1': j1}]) AS r FROM (
+      SELECT a, b, i0, i1, j0, j1, list_max(flatten(flatten(list_transform(range(i0, i1), lambda i: list_transform(range(j0, j1), lambda j: list_transform(
+        list_filter(range(1, least(i1 - i, j1 - j) + 1), lambda k: substr(a, i + 1, k) = substr(b, j + 1, k)), lambda k: {'k': k, 'i': -i, 'j': -j})))))) AS best
+      FROM blocks) WHERE best IS NOT NULL)
+), ratios AS (
+  SELECT a, b, 2 * sum(k) / (length(a) + length(b)) AS score FROM (SELECT DISTINCT a, b, best.k AS k, best.i, best.j FROM blocks WHERE best IS NOT NULL) GROUP BY a, b
+)"""
+
+
+@_query(f"""
+WITH RECURSIVE a AS (SELECT p_brand AS book, p_partkey AS ord, {key_sql("p_name", "a-z0-9")} AS t FROM part WHERE p_size % 2 = 0), b AS (SELECT p_brand AS book, p_partkey AS work, {key_sql("p_name", "a-z0-9")} AS t FROM part WHERE p_size % 2 = 1),
+pairs AS (SELECT x.a, y.b FROM (SELECT DISTINCT t AS a FROM a) x, (SELECT DISTINCT t AS b FROM b) y WHERE 2 * least(length(x.a), length(y.b)) >= 0.75 * (length(x.a) + length(y.b))),
+{RATIO_SQL}
+SELECT book, ord, arg_min(work, (-score, work)) AS work FROM (SELECT a.book, a.ord, b.work, r.score FROM a JOIN b ON a.book = b.book JOIN ratios r ON r.a = a.t AND r.b = b.t WHERE r.score >= 0.75) GROUP BY book, ord""")
+def works_by_likeness(spark, sf_dir):
+    return toc.match_works(_entries(spark, sf_dir, "p_size % 2 = 0"), _entries(spark, sf_dir, "p_size % 2 = 1"), threshold=0.75)
+
+
 @_query("""
 WITH a AS (SELECT p_brand AS book, p_partkey AS ord, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part WHERE p_size % 2 = 0),
 b AS (SELECT p_brand AS book, p_partkey AS work, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part WHERE p_size % 2 = 1)
