@@ -9,41 +9,120 @@ ends), one got breaks one: at least 3 L - n - m + 1 bigrams are the same. From t
 - a position filter: a bigram that either string has once has moved by what was lost or got before it at most;
 - a rest filter: what stands behind a meeting bigram in both orders must make up the number.
 
-Pairs that pass are looked at once: first by edit distance with a bound, then by the ratio itself. No pair is dropped that
+Pairs that pass are looked at once: their bigrams are compared, then their longest common subsequence is measured, and the ratio is worked out for what is left. No pair is dropped that
 reaches the threshold. Lower thresholds index single characters, of which L are the same.
 """
 
 from __future__ import annotations
 
+import difflib
+import functools
+import math
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from ..functions import similarity
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: From this threshold on bigrams leave something in common.
 BIGRAMS_FROM = 2 / 3 + 1e-6
 #: Guards sums of decimal fractions against rounding.
 EPS = 1e-9
+#: Grams of an Arrow batch.
+BATCH_GRAMS = 1 << 16
+#: Bits of a key's grams when a pair is looked at.
+GRAM_BITS = 1 << 12
+
+
+def grams_of(key: str, width: int) -> list[str]:
+    padded = f"\x02{key}\x03" if width == 2 else key
+    return [padded[i : i + width] for i in range(len(padded) - width + 1)]
+
+
+def _listed(width: int, held: list[str], schema: pa.Schema):
+    """The grams of each key: how often each came before, its place, and whether it comes once."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+
+            def flush(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), *schema.types[len(held) :]], strict=True)]
+                rows.clear()
+                return pa.RecordBatch.from_arrays([*[batch[c].take(columns[0]) for c in held], *columns[1:]], schema.names)
+
+            for r, key in enumerate(batch["key"].to_pylist()):
+                found = grams_of(key, width)
+                seen: dict[str, int] = {}
+                nth = []
+                for g in found:
+                    seen[g] = seen.get(g, -1) + 1
+                    nth.append(seen[g])
+                rows.extend((r, len(key), g, k, i, seen[g] == 0) for i, (g, k) in enumerate(zip(found, nth, strict=True)))
+                if len(rows) >= BATCH_GRAMS:
+                    yield flush()
+            if rows:
+                yield flush()
+
+    return mapped
+
+
+class Known:
+    """What is looked up of a key: a bit for each gram (and how often it came before), and where its characters stand."""
+
+    __slots__ = ("bits", "full", "n_bits", "n_grams", "places")
+
+    def __init__(self, key: str, width: int):
+        seen: Counter = Counter()
+        bits, places = bytearray(GRAM_BITS // 8), {}
+        for g in grams_of(key, width):
+            at = zlib.crc32(f"{g}{seen[g]}".encode("utf-8", "surrogatepass")) % GRAM_BITS
+            bits[at >> 3] |= 1 << (at & 7)
+            seen[g] += 1
+        for i, c in enumerate(key):
+            places[c] = places.get(c, 0) | 1 << i
+        self.bits, self.places, self.full = int.from_bytes(bits, "little"), places, (1 << len(key)) - 1
+        self.n_bits, self.n_grams = self.bits.bit_count(), seen.total()
+
+
+@functools.lru_cache(1 << 14)
+def _known(key: str, width: int) -> Known:
+    return Known(key, width)
+
+
+def common_characters(a: Known, b: str) -> int:
+    """Length of the longest common subsequence, a bit a character of the first string."""
+    free, places = a.full, a.places
+    for c in b:
+        met = free & places.get(c, 0)
+        free = (free + met) | (free - met)
+    return (~free & a.full).bit_count()
+
 
+def _scored(threshold: float):
+    width = 2 if threshold >= BIGRAMS_FROM else 1
 
-def _marked(width: int):
-    @F.pandas_udf("array<struct<gram: string, nth: int, pos: int, lone: boolean>>")
-    def grams(keys: pd.Series) -> pd.Series:
-        """The grams of each key: how often each came before, its place, and whether it comes once."""
+    @F.pandas_udf("double")
+    def score(keys: pd.Series, others: pd.Series) -> pd.Series:
+        """The ratio, or 0 where too few grams or characters are the same for the threshold."""
         out = []
-        for key in keys:
-            padded = f"\x02{key}\x03" if width == 2 else key
-            found = [padded[i : i + width] for i in range(len(padded) - width + 1)]
-            seen: dict[str, int] = {}
-            rows = []
-            for i, g in enumerate(found):
-                seen[g] = seen.get(g, -1) + 1
-                rows.append((g, seen[g], i))
-            out.append([{"gram": g, "nth": k, "pos": i, "lone": seen[g] == 0} for g, k, i in rows])
-        return pd.Series(out, dtype=object)
+        for a, b in zip(keys, others, strict=True):
+            total = len(a) + len(b)
+            matched = math.ceil(total * threshold / 2 - EPS)
+            least = 3 * matched - total + 1 if width == 2 else matched
+            mine, theirs = _known(a, width), _known(b, width)
+            both = (mine.bits & theirs.bits).bit_count()
+            # each bit that only one has stands for a gram of its own
+            may = min(mine.n_grams - mine.n_bits, theirs.n_grams - theirs.n_bits) + both >= least and common_characters(mine, b) >= matched
+            out.append(difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() if may else 0.0)
+        return pd.Series(out, dtype="float64")
 
-    return grams
+    return score
 
 
 def _least_common(total: Column, threshold: float, bigrams: bool) -> Column:
@@ -55,16 +134,18 @@ def _least_common(total: Column, threshold: float, bigrams: bool) -> Column:
 def index(keys: DataFrame, scope: list[str], threshold: float) -> DataFrame:
     """A row for each gram of a key's prefix: scope, id, n, gram, nth, pos, lone, rest (grams behind it in the order)."""
     bigrams = threshold >= BIGRAMS_FROM
-    n = F.length("key")
-    grams = keys.where(n > 0).select(*scope, "id", n.alias("n"), F.explode(_marked(2 if bigrams else 1)("key")).alias("g")).select(*scope, "id", "n", "g.*")
+    held = [*scope, "id"]
+    asked = keys.where(F.length("key") > 0).select(*held, "key")
+    out = T.StructType([*asked.schema.fields[:-1], *T._parse_datatype_string("n int, gram string, nth int, pos int, lone boolean").fields])
+    grams = asked.mapInArrow(_listed(2 if bigrams else 1, held, to_arrow_schema(out)), out)
     often = grams.groupBy(*scope, "gram", "nth").agg(F.count(F.lit(1)).alias("often"))
-    ordered = F.array_sort(F.collect_list(F.struct("often", "gram", "nth", "pos", "lone")))
-    held = grams.join(often, [*scope, "gram", "nth"]).groupBy(*scope, "id", "n").agg(ordered.alias("g"))
+    ordered = F.sort_array(F.collect_list(F.struct("often", "gram", "nth", "pos", "lone")))
+    listed = grams.join(often, [*scope, "gram", "nth"]).groupBy(*scope, "id", "n").agg(ordered.alias("g"))
     shortest = F.col("n") + F.ceil(F.col("n") * (threshold / (2 - threshold)) - EPS)
     least = F.ceil(shortest * (1.5 * threshold - 1) + 1 - EPS) if bigrams else F.ceil(shortest * threshold / 2 - EPS)
     size = F.size("g")
     prefix = F.slice("g", F.lit(1), F.greatest(size - F.greatest(least, F.lit(1)) + 1, F.lit(0)).cast("int"))
-    return held.select(*scope, "id", "n", size.alias("_size"), F.posexplode(prefix).alias("_at", "g")).select(*scope, "id", "n", (F.col("_size") - F.col("_at")).alias("rest"), "g.gram", "g.nth", "g.pos", "g.lone")
+    return listed.select(*scope, "id", "n", size.alias("_size"), F.posexplode(prefix).alias("_at", "g")).select(*scope, "id", "n", (F.col("_size") - F.col("_at")).alias("rest"), "g.gram", "g.nth", "g.pos", "g.lone")
 
 
 def candidates(left: DataFrame, right: DataFrame, scope: list[str], threshold: float, both: bool) -> DataFrame:
@@ -87,7 +168,7 @@ def alike(left: DataFrame, right: DataFrame | None, threshold: float, scope: lis
     left, right: scope and key; right is left where None is given. A null key has no partner, an empty one only its equal.
     """
     scope = ["book"] if scope is None else scope
-    named = lambda df: df.where(F.col("key").isNotNull()).select(*scope, "key").distinct().withColumn("id", F.md5("key"))
+    named = lambda df: df.where(F.col("key").isNotNull()).select(*scope, "key").distinct().withColumn("id", F.unhex(F.md5("key")))
     a = named(left)
     b = a if right is None else named(right)
     equal = a.join(b.select(*scope, "id"), [*scope, "id"], "left_semi").select(*scope, "key", F.col("key").alias("other"), F.lit(1.0).alias("score"))
@@ -101,11 +182,10 @@ def alike(left: DataFrame, right: DataFrame | None, threshold: float, scope: lis
         of = lambda df: rows.join(df.select(*scope, "id"), [*scope, "id"], "left_semi")
         met = candidates(of(a), of(b), scope, threshold, False)
     texts = met.join(a.select(*scope, "id", "key"), [*scope, "id"]).join(b.select(*scope, F.col("id").alias("other_id"), F.col("key").alias("other")), [*scope, "other_id"])
-    unmatched = F.floor((F.length("key") + F.length("other")) * (1 - threshold) + EPS).cast("int")
-    near = texts.withColumn("_most", unmatched).where(F.expr("levenshtein(key, other, _most) >= 0"))
+    near = texts.select(*scope, "key", "other")
     if right is None:  # the ratio depends on the order of its sides
-        near = near.select(*scope, "key", "other").unionAll(near.select(*scope, F.col("other").alias("key"), F.col("key").alias("other")))
-    scored = near.select(*scope, "key", "other").withColumn("score", similarity.ratio(F.col("key"), F.col("other")))
+        near = near.select(*scope, F.explode(F.array(F.struct("key", "other"), F.struct(F.col("other").alias("key"), F.col("key").alias("other")))).alias("_p")).select(*scope, "_p.*")
+    scored = near.withColumn("score", _scored(threshold)("key", "other"))
     return equal.unionByName(scored.where(F.col("score") >= threshold))
 
 
