@@ -24,7 +24,7 @@ def could_reach(a: Column, b: Column, threshold: float) -> Column:
 
 @F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([None if x is None or y is None else 1.0 if x == y else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(T.StringType())

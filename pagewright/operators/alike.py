@@ -104,14 +104,17 @@ def common_characters(a: Known, b: str) -> int:
     return (~free & a.full).bit_count()
 
 
-def _scored(threshold: float):
+def ratio_from(threshold: float):
+    """The ratio of two strings, or 0 where a bound says that it stays below the threshold."""
     width = 2 if threshold >= BIGRAMS_FROM else 1
 
     @F.pandas_udf("double")
     def score(keys: pd.Series, others: pd.Series) -> pd.Series:
-        """The ratio, or 0 where too few grams or characters are the same for the threshold."""
         out = []
         for a, b in zip(keys, others, strict=True):
+            if a is None or b is None or a == b:
+                out.append(None if a is None or b is None else 1.0)
+                continue
             total = len(a) + len(b)
             matched = math.ceil(total * threshold / 2 - EPS)
             least = 3 * matched - total + 1 if width == 2 else matched
@@ -185,7 +188,7 @@ def alike(left: DataFrame, right: DataFrame | None, threshold: float, scope: lis
     near = texts.select(*scope, "key", "other")
     if right is None:  # the ratio depends on the order of its sides
         near = near.select(*scope, F.explode(F.array(F.struct("key", "other"), F.struct(F.col("other").alias("key"), F.col("key").alias("other")))).alias("_p")).select(*scope, "_p.*")
-    scored = near.withColumn("score", _scored(threshold)("key", "other"))
+    scored = near.withColumn("score", ratio_from(threshold)("key", "other"))
     return equal.unionByName(scored.where(F.col("score") >= threshold))
 
 

@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from . import toc
+from . import alike, toc
 
 #: Least scores of a heading on an entry's printed page, and of one in the pages between its neighbours.
 ON_PAGE, BETWEEN = 0.75, 0.8
+#: What a heading's score has before that of other segments.
+AS_HEADING = 0.05
 #: Printed pages may be off by so many.
 REACH = 1
 #: Words of a row that is only a marker with a garbled title.
@@ -85,7 +87,7 @@ def scored(entries: DataFrame, segments: DataFrame) -> DataFrame:
     asked = windows(entries, segments).select("book", "ord", "pdf_page", toc.unmarked_key(F.col("title")).alias("_a"), F.explode(F.sequence("low", "high")).alias("page"))
     some = segments.where(~F.col("kind").isin("footnote", "line_number")).select("book", "page", "seq", toc.unmarked_key(F.col("text")).alias("_b"), (F.col("kind") == "heading").alias("_head"))
     met = asked.join(some, ["book", "page"]).where((F.length("_a") > 0) & (F.length("_b") > 0))
-    score = toc.heading_score(F.col("_a"), F.col("_b")) + F.when(F.col("_head"), 0.05).otherwise(0.0)
+    score = toc.heading_score(F.col("_a"), F.col("_b"), alike.ratio_from(ON_PAGE - AS_HEADING)) + F.when(F.col("_head"), AS_HEADING).otherwise(0.0)
     least = F.when(F.col("pdf_page").isNotNull(), ON_PAGE).otherwise(BETWEEN)
     away = F.coalesce(F.abs(F.col("page") - F.col("pdf_page")), F.lit(0)) * 0.001
     return met.withColumn("_s", score).where(F.col("_s") >= least).select("book", F.col("ord").cast("long").alias("ord"), F.col("page").cast("int").alias("page"), F.col("seq").cast("int").alias("seq"), (F.col("_s") - away).alias("weight"))

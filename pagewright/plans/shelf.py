@@ -376,7 +376,8 @@ def times_spelled(spark, sf_dir):
     w = _words(spark, sf_dir)
     two = w.where("i < 2").groupBy("book", "idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]).alias("words"))
     rules = two.where(F.size("words") == 2).select("book", F.array_join("words", " ").alias("spelling"), "words").distinct()
-    return spelling.times_spelled(w, rules)
+    texts = _read(spark, sf_dir, "documents").where("text is not null").select(F.col("lang").alias("book"), "text")
+    return spelling.times_spelled(texts, rules)
 
 
 @_query(f"""
