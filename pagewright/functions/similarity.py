@@ -27,6 +27,13 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else 1.0 if x == y else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])))
+def matched(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Places of the characters that two strings have in common, by matching blocks."""
+    blocks = (difflib.SequenceMatcher(None, x or "", y or "", autojunk=False).get_matching_blocks() for x, y in zip(a, b, strict=True))
+    return pd.Series([[{"a": i + k, "b": j + k} for i, j, n in found for k in range(n)] for found in blocks], dtype=object)
+
+
 @F.pandas_udf(T.StringType())
 def nfc(c: pd.Series) -> pd.Series:
     return c.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
