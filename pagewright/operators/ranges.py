@@ -78,3 +78,44 @@ def source_of(pages: DataFrame, sources: DataFrame) -> DataFrame:
         .where(F.col("page").between(F.col("first"), F.col("last")))
         .select("book", "page", "pdf", (F.col("page") - F.col("first")).alias("index"))
     )
+
+
+#: Pages of a block by which intervals meet pages.
+BLOCK = 1024
+
+
+def intervals(spec: Column) -> Column:
+    """`1-3,7` as an array of start and stop; null and empty have none."""
+    parts = F.filter(F.transform(F.split(F.coalesce(spec.cast("string"), F.lit("")), ","), lambda p: F.btrim(p)), lambda p: p != "")
+    ends = lambda p: F.transform(F.split(p, "-"), lambda x: F.btrim(x).cast("int"))
+    return F.transform(parts, lambda p: F.struct(ends(p)[0].alias("start"), F.element_at(ends(p), -1).alias("stop")))
+
+
+def merged(spans: DataFrame) -> DataFrame:
+    """(book, start, stop): spans of pages as few disjoint ones; those that touch are one."""
+    w = Window.partitionBy("book").orderBy("start", "stop")
+    reached = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") > reached + 1, F.lit(True))
+    some = spans.where("start <= stop").select("book", "start", "stop")
+    run = F.sum(F.col("_new").cast("int")).over(w)
+    return some.withColumn("_new", opens).withColumn("_run", run).groupBy("book", "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_run")
+
+
+def outside(pages: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows (book, page, …) whose page lies in none of the spans (book, start, stop).
+
+    Spans are merged and meet pages by blocks of pages, so neither a span's pages nor the pairs of a book are listed.
+    """
+    block = lambda c: F.floor(F.col(c) / BLOCK)
+    held = merged(spans).withColumn("_block", F.explode(F.sequence(block("start"), block("stop")))).withColumnRenamed("book", "_book")
+    asked = pages.withColumn("_at", block("page"))
+    inside = (F.col("book") == F.col("_book")) & (F.col("_at") == F.col("_block")) & F.col("page").between(F.col("start"), F.col("stop"))
+    return asked.join(held.select("_book", "_block", "start", "stop"), inside, "left_anti").drop("_at")
+
+
+def section_starts(versions: DataFrame, intros: DataFrame) -> DataFrame:
+    """(book, page): where a book's sections begin. versions: book, work, pages (as text); intros: book, pages. A work begins on its first page in any version."""
+    first = F.array_min(F.transform(intervals(F.col("pages")), lambda x: x["start"]))
+    works = versions.groupBy("book", "work").agg(F.min(first).alias("page")).where("page is not null").select("book", "page")
+    opening = intros.select("book", F.get(intervals(F.col("pages")), F.lit(0))["start"].alias("page")).where("page is not null")
+    return works.unionByName(opening).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import locating, strategies, tables
+from ..operators import disagreements, locating, ranges, strategies, tables
 from .lens import ROWS_SQL, _long, _read, page_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,46 @@ def cleaned_by_strategy(spark, sf_dir):
     rules = own.select("book", F.lit("clean").alias("step"), F.lit("letters").alias("strategy"))
     done = _registry().run("clean", rules, page_rows(spark, sf_dir))
     return done.select("book", "page", *_long("row"), F.md5("text").alias("digest"))
+
+
+@_query("""
+WITH p AS (SELECT source AS book, doc_id AS page FROM documents), s AS (SELECT book, page AS a, page + page % 5 AS z FROM p WHERE page % 17 = 0 UNION ALL SELECT book, page AS a, page + 3000 AS z FROM p WHERE page % 331 = 5)
+SELECT book, page FROM p WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.book = p.book AND p.page BETWEEN a AND z)""")
+def pages_not_skipped(spark, sf_dir):
+    p = _read(spark, sf_dir, "documents").select(F.col("source").alias("book"), F.col("doc_id").alias("page"))
+    some = p.where("page % 17 = 0").select("book", F.col("page").alias("start"), F.expr("page + page % 5").alias("stop"))
+    wide = p.where("page % 331 = 5").select("book", F.col("page").alias("start"), F.expr("page + 3000").alias("stop"))
+    return ranges.outside(p, some.unionByName(wide))
+
+
+@_query("""
+WITH v AS (SELECT source AS book, doc_id % 40 AS work, least(doc_id, doc_id % 97) AS page FROM documents), i AS (SELECT DISTINCT source AS book, 1 AS page FROM documents WHERE lang = 'en')
+SELECT book, cast(min(page) AS INTEGER) AS page FROM v GROUP BY book, work UNION SELECT book, page FROM i""")
+def section_starts(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents")
+    spec = F.concat(F.col("doc_id").cast("string"), F.lit("-"), (F.col("doc_id") + 2).cast("string"), F.lit(", "), (F.col("doc_id") % 97).cast("string"))
+    versions = d.select(F.col("source").alias("book"), (F.col("doc_id") % 40).alias("work"), spec.alias("pages"))
+    return ranges.section_starts(versions, d.where("lang = 'en'").select(F.col("source").alias("book"), F.lit("1-4,9").alias("pages")).distinct())
+
+
+# Titles are languages: two that differ are alike by half, but fr is like no other one.
+@_query("""
+WITH e AS (SELECT source AS book, doc_id AS ord, lang AS title, CASE WHEN doc_id % 3 = 0 THEN 'fr' WHEN doc_id % 3 = 1 THEN lang END AS st, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE doc_id END AS pdf_start, doc_id + 2 AS pdf_end,
+  CASE WHEN doc_id % 5 = 0 THEN NULL ELSE doc_id + (CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END) END AS s, doc_id + 2 AS t, doc_id + 10 AS printed, CASE WHEN doc_id % 4 = 0 THEN doc_id + 9 WHEN doc_id % 4 = 1 THEN doc_id + 10 END AS est,
+  CASE doc_id % 4 WHEN 1 THEN lang WHEN 2 THEN 'es' WHEN 3 THEN 'fr' END AS h FROM documents),
+m AS (SELECT *, coalesce(pdf_start, s) AS start, coalesce(st, title) AS l FROM e),
+k AS (SELECT *, greatest(CASE WHEN h = title THEN 1.0 WHEN 'fr' IN (h, title) THEN 0.0 ELSE 0.5 END, CASE WHEN h = l THEN 1.0 WHEN 'fr' IN (h, l) THEN 0.0 ELSE 0.5 END) AS score FROM m)
+SELECT book, ord, 'no page' AS kind, start AS page, 'no page in the contents; ' || s || ' from the catalogue' AS said FROM k WHERE pdf_start IS NULL AND s IS NOT NULL
+UNION ALL SELECT book, ord, 'other pages', start, 'pages ' || start || '-' || pdf_end || ' by the contents, ' || s || '-' || t || ' by the catalogue' FROM k WHERE s <> start OR (s IS NOT NULL AND t <> pdf_end)
+UNION ALL SELECT book, ord, 'other printed page', start, 'page ' || printed || ' in the contents, printed page ' || est FROM k WHERE printed <> est
+UNION ALL SELECT book, ord, 'no heading', start, 'no heading on page ' || coalesce(cast(start AS VARCHAR), '-') FROM k WHERE h IS NULL
+UNION ALL SELECT book, ord, 'unlike heading', start, 'heading ''' || h || ''' is not ''' || title || '''' FROM k WHERE h IS NOT NULL AND score < 0.5
+UNION ALL SELECT book, ord, 'other titles', start, 'heading ''' || h || ''', contents ''' || title || ''', catalogue ''' || coalesce(st, '-') || '''' FROM k WHERE h IS NOT NULL AND score >= 0.5 AND (h <> title OR h <> l)""")
+def contents_disagreements(spark, sf_dir):
+    d, i = _read(spark, sf_dir, "documents"), F.col("doc_id")
+    entries = d.select(
+        F.col("source").alias("book"), i.alias("ord"), F.col("lang").alias("title"), F.when(i % 3 == 0, "fr").when(i % 3 == 1, F.col("lang")).alias("structure_title"), (i + 10).alias("printed_page"),
+        F.when(i % 4 == 0, i + 9).when(i % 4 == 1, i + 10).alias("printed_page_est"), F.when(i % 11 != 0, i).alias("pdf_start"), (i + 2).alias("pdf_end"), F.when(i % 5 != 0, i + F.when(i % 7 == 0, 1).otherwise(0)).alias("structure_start"),
+        (i + 2).alias("structure_end"), F.when(i % 4 == 1, F.col("lang")).when(i % 4 == 2, "es").when(i % 4 == 3, "fr").alias("heading"),
+    )
+    return disagreements.report(entries.withColumn("heading_title", F.col("heading"))).select("book", "ord", "kind", "page", "said")
