@@ -107,10 +107,10 @@ def outside(pages: DataFrame, spans: DataFrame) -> DataFrame:
     Spans are merged and meet pages by blocks of pages, so neither a span's pages nor the pairs of a book are listed.
     """
     block = lambda c: F.floor(F.col(c) / BLOCK)
-    held = merged(spans).withColumn("_block", F.explode(F.sequence(block("start"), block("stop")))).withColumnRenamed("book", "_book")
+    held = merged(spans).select(F.col("book").alias("_book"), F.col("start").alias("_from"), F.col("stop").alias("_to"), F.explode(F.sequence(block("start"), block("stop"))).alias("_block"))
     asked = pages.withColumn("_at", block("page"))
-    inside = (F.col("book") == F.col("_book")) & (F.col("_at") == F.col("_block")) & F.col("page").between(F.col("start"), F.col("stop"))
-    return asked.join(held.select("_book", "_block", "start", "stop"), inside, "left_anti").drop("_at")
+    inside = (F.col("book") == F.col("_book")) & (F.col("_at") == F.col("_block")) & F.col("page").between(F.col("_from"), F.col("_to"))
+    return asked.join(held, inside, "left_anti").drop("_at")
 
 
 def section_starts(versions: DataFrame, intros: DataFrame) -> DataFrame:
