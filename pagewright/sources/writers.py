@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import corrections, publish
+from ..operators import corrections, listing, publish
 
 
 class Refused(ValueError):
@@ -73,3 +74,16 @@ def write_web(blocks: DataFrame, books: DataFrame, path: str) -> None:
     story = F.struct("entry", "file", "start_page", "end_page", "n_notes")
     contents = files.select("book", story.alias("story")).groupBy("book").agg(F.array_sort(F.collect_list("story")).alias("stories"))
     replaced({"files": files.select("book", "file", "content"), "contents": contents}, path)
+
+
+def update_listing(current: DataFrame, raw: DataFrame, model: DataFrame, path: str) -> None:
+    """Bring the listing of spelling occurrences below `path` up to date; sections that didn't change keep their rows."""
+    spark = current.sparkSession
+    try:
+        held = spark.read.parquet(f"{path}/sections"), spark.read.parquet(f"{path}/occurrences")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = None
+    sections, occurrences = listing.refreshed(held, current, raw, model)
+    replaced({"sections": sections, "occurrences": occurrences}, path)
