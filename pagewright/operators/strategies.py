@@ -32,10 +32,10 @@ class Registry:
 
         return add
 
-    def chosen(self, step: str, books: DataFrame, rules: DataFrame) -> DataFrame:
-        """(book, strategy): each book's own strategy for the step (rules: book, step, strategy), else the shared one."""
-        own = rules.where(F.col("step") == step).groupBy("book").agg(F.min("strategy").alias("strategy"))
-        return books.select("book").distinct().join(own, "book", "left").withColumn("strategy", F.coalesce("strategy", F.lit(SHARED)))
+    def own(self, step: str, rules: DataFrame) -> DataFrame:
+        """(book, strategy): books with a strategy of their own for the step (rules: book, step, strategy); a rule that names none there is counts for nothing."""
+        named = rules.where((F.col("step") == step) & F.col("strategy").isin(*self.steps[step]) & (F.col("strategy") != SHARED))
+        return named.groupBy("book").agg(F.min("strategy").alias("strategy"))
 
     def unknown(self, rules: DataFrame) -> DataFrame:
         """(book, problem): rules that name no strategy there is, or two for one step."""
@@ -46,12 +46,13 @@ class Registry:
         return none.unionByName(twice.select("book", F.concat(F.lit("two strategies for "), "step").alias("problem")))
 
     def run(self, step: str, rules: DataFrame, *tables: DataFrame) -> DataFrame:
-        """The step over all books of the first table. A strategy that no rule names is planned too and finds no book."""
+        """The step over all books of its tables. A strategy that no rule names is planned too and finds no book."""
         if SHARED not in self.steps.get(step, {}):
             raise KeyError(f"{step} has no shared strategy")
-        plan = self.chosen(step, tables[0], rules)
+        own = self.own(step, rules)
         results = []
         for name, function in self.steps[step].items():
-            mine = plan.where(F.col("strategy") == name).select("book")
-            results.append(function(*[t.join(mine, "book", "left_semi") for t in tables]))
+            # rules are few: books meet them, and the tables' rows stay where they lie as long as they do
+            mine, how = (own, "left_anti") if name == SHARED else (own.where(F.col("strategy") == name), "left_semi")
+            results.append(function(*[t.join(mine.select("book"), "book", how) for t in tables]))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
