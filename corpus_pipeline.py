@@ -50,7 +50,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SimHash groups, sampled near-duplicates and token ids have no SQL form; tests hold the stages to brute force.
+#: Fuzzy line groups, sampled near-duplicates and token ids have no SQL form; tests hold the stages to brute force.
 ORACLE_SQL = None
 
 
