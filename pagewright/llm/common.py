@@ -6,6 +6,8 @@ texts; a word never crosses from one text into the next.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import os
 import tempfile
@@ -38,10 +40,31 @@ def shared_dir(spark: SparkSession) -> str:
     return held.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str = "t") -> DataFrame:
+#: Of each open block of `scratch`, the innermost last: the tables written in it.
+_written: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("written", default=())
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are written inside the block are deleted at its end; those written with keep=True last as long as the block around it."""
+    paths: list[str] = []
+    before = _written.set((*_written.get(), paths))
+    try:
+        yield
+    finally:
+        _written.reset(before)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def materialise(df: DataFrame, name: str = "t", keep: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    around = _written.get()[:-1] if keep else _written.get()
+    if around:
+        around[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,12 +3,12 @@
 Lines are normalised (A-Z lower-cased, digits alike, white space aside) and told apart by hash, so an
 equal line costs one row of a map-side minimum.
 
-Candidates: each line draws weighted min-wise samples of its words, and lines that agree in
-three samples of one of `BANDS` bands are paired as graph.linked says. A word weighs one by the root of its count over the
-whole corpus (counted in a table of fixed size), so lines seldom meet over words that everybody uses. A band agrees with
-the third power of the lines' weighted Jaccard similarity as its probability. Blocks of a SimHash, the usual way,
-can't serve a threshold of 0.8: a fifth of the words changed turns a fifth of the bits, and blocks wide enough to
-part millions of lines then miss nearly every pair.
+Candidates: each line draws min-wise samples of its words and of its runs of three words (short lines: of two), and lines that
+agree in one of each, in one of `BANDS` bands, are paired as graph.linked says. A sample agrees with the Jaccard similarity of the two
+sets as its probability. All weigh alike: a word that nobody else has, such as a misspelt one, takes over no more samples than another,
+and no verdict hangs on the rest of the corpus; that lines seldom meet over words that everybody uses is due to the runs. Blocks of a
+SimHash, the usual way, can't serve a threshold of 0.8: a fifth of the words changed turns a fifth of the bits, and blocks wide
+enough to part millions of lines then miss nearly every pair.
 
 Verification: a parity of the lines' words, of which an edit turns two bits at most, and their lengths drop pairs that
 can't reach the threshold; the others are verified by edit similarity: one less the edits of words by the longer line's
@@ -45,6 +45,8 @@ from .common import (
     mix,
     powers_to,
     rows_inside,
+    run_hashes,
+    scratch,
     small_batches,
     text_or_empty,
     word_slices,
@@ -54,12 +56,12 @@ from .graph import linked
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-#: Bands. Of pairs with a tenth of the words replaced 99 % share one, with a fifth 95 %.
+#: Bands. Of pairs with a tenth of the words replaced over 99 % share one, with a fifth 94 % or more.
 BANDS = 12
+#: Lines of fewer steps give runs of two words, others of three.
+SHORT_STEPS = 6
 #: A line of so many times the words of another stands a step higher in the scale of sizes.
 SIZE_STEP = 1.6
-#: Bits of the table of word counts, and of the table of random variates.
-COUNT_BITS, VARIATE_BITS = 16, 16
 SEED = 20240311
 FILTER_BITS = 26
 
@@ -99,6 +101,10 @@ class Lines:
         part = (self.words.hashes >> U(56)) & U(3)
         return np.stack([np.bitwise_xor.reduceat(np.where(part == U(k), bit, U(0)), self.firsts) for k in range(4)], axis=1)
 
+    def fold(self) -> np.ndarray:
+        """The parities of a line in one number of 64 bits."""
+        return np.bitwise_xor.reduceat(U(1) << (self.words.hashes >> U(58)), self.firsts) if len(self.firsts) else np.empty(0, U)
+
     def bands(self, some: np.ndarray, sampler: Sampler) -> np.ndarray:
         """A key for each band of some lines, a row a line."""
         words = np.repeat(np.arange(len(self.firsts)), self.sizes)
@@ -109,40 +115,51 @@ class Lines:
 
 
 class Sampler:
-    """Weighted min-wise samples of words: the one with the least exponential variate, drawn by its hash, over its weight.
+    """Min-wise samples: of a line's hashes the one whose image under a random bijection is least.
 
-    A word weighs the same in every line, so two lines agree in a sample with the probability of their weighted
-    Jaccard similarity. A band's key holds three samples and the line's size on a coarse logarithmic scale, which begins
-    elsewhere in each band: lines of one size always agree there, lines of very unlike sizes never.
+    A band's key holds a sample of the words, one of the runs of words, and the line's size on a coarse logarithmic scale, which
+    begins elsewhere in each band: lines of one size always agree there, lines of very unlike sizes never. The scale says too how
+    long the runs are, so lines that agree in it have runs of one length.
     """
 
-    def __init__(self, counts: np.ndarray, bands: int = BANDS):
+    def __init__(self, bands: int = BANDS):
         rng = np.random.default_rng(SEED)
-        self.factors = rng.integers(0, 1 << 63, 2 * bands, dtype=np.int64).view(U) | U(1)
-        self.variates = -np.log((np.arange(1 << VARIATE_BITS) + 0.5) / (1 << VARIATE_BITS)).astype(np.float32)
-        self.inverse = np.sqrt(np.maximum(counts, 1)).astype(np.float32)
+        self.turned, factors = rng.integers(0, 1 << 63, (2, 2 * bands), dtype=np.int64).view(U)
+        self.factors = (factors << U(1)) | U(1)
         self.number = np.arange(bands)
 
-    def samples(self, hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-        """The words chosen (columns) of runs of words (rows); firsts: where each non-empty run begins."""
-        inverse = self.inverse[(hashes >> U(64 - COUNT_BITS)).astype(np.int64)]
-        name = hashes & U(0xFFFFFFFF)
-        chosen = np.empty((len(firsts), len(self.factors)), U)
-        for k, factor in enumerate(self.factors):
-            value = self.variates[((hashes * factor) >> U(64 - VARIATE_BITS)).astype(np.int32)] * inverse
-            # positive floats are in the order of their bits, so the least value brings its word along
-            chosen[:, k] = np.minimum.reduceat((value.view(np.uint32).astype(U) << U(32)) | name, firsts)
-        return chosen & U(0xFFFFFFFF)
+    def samples(self, hashes: np.ndarray, firsts: np.ndarray, which: slice = slice(None)) -> np.ndarray:
+        """The images chosen (columns, a bijection each) of sets of hashes (rows); firsts: where each non-empty set begins."""
+        drawn = list(zip(self.turned[which], self.factors[which], strict=True))
+        chosen = np.empty((len(firsts), len(drawn)), U)
+        for k, (turned, factor) in enumerate(drawn):
+            chosen[:, k] = np.minimum.reduceat((hashes ^ turned) * factor, firsts)
+        return chosen
+
+    def of_runs(self, hashes: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
+        """Samples of the runs of n words of lines with n words or more."""
+        runs, _ = run_hashes(hashes, np.zeros(len(hashes), np.int8), n)
+        place = np.arange(len(runs)) - np.repeat(firsts, sizes)[: len(runs)]
+        inside = place <= np.repeat(sizes, sizes)[: len(runs)] - n
+        return self.samples(runs[inside], firsts - np.arange(len(firsts)) * (n - 1), slice(len(self.number), None))
 
     def bands(self, hashes: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Band k takes samples 2k, 2k + 1 and one of another band, so that two bands share one sample at most."""
-        chosen = self.samples(hashes, firsts)
+        """A key for each band of lines of three words or more."""
+        if not len(firsts):
+            return np.empty((0, len(self.number)), U)
         k = self.number
-        scale = np.floor(np.log(sizes)[:, None] / np.log(SIZE_STEP) + k / len(k)).astype(U)
-        keys = scale * U(0x9E3779B97F4A7C15) + k.astype(U)
-        for at in (2 * k, 2 * k + 1, (2 * k + 7) % len(self.factors)):
-            keys = keys * U(0xD1342543DE82EF95) + chosen[:, at] + U(1)
-        return mix(keys)
+        scale = np.floor(np.log(sizes)[:, None] / np.log(SIZE_STEP) + k / len(k))
+        keys = scale.astype(U) * U(0x9E3779B97F4A7C15) + k.astype(U)
+        keys = keys * U(0xD1342543DE82EF95) + self.samples(hashes, firsts, slice(len(k)))
+        runs = self.of_runs(hashes, firsts, sizes, 3)
+        short = np.flatnonzero((scale < SHORT_STEPS).any(axis=1))
+        if len(short):
+            n = sizes[short]
+            wanted = np.zeros(len(sizes), bool)
+            wanted[short] = True
+            pairs = self.of_runs(hashes[np.repeat(wanted, sizes)], np.cumsum(n) - n, n, 2)
+            runs[short] = np.where(scale[short] < SHORT_STEPS, pairs, runs[short])
+        return mix(mix(keys) + runs)
 
 
 def line_slices(column: pa.Array) -> Iterator[Lines]:
@@ -196,27 +213,6 @@ def _coded(filter_, holders):
 PARITIES = ("p0", "p1", "p2", "p3")
 
 
-def word_counts(docs: DataFrame) -> np.ndarray:
-    """How often the words of all texts occur, by the first bits of their hashes.
-
-    A task adds up its texts in a table of fixed size and gives a row for each entry.
-    """
-    slots = 1 << COUNT_BITS
-
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, np.int64)
-        for batch in batches:
-            for words in word_slices(batch["text"], SPACED, fold=FOLD):
-                counts += np.bincount((words.hashes >> U(64 - COUNT_BITS)).astype(np.int64), minlength=slots)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["slot", "n"])
-
-    found = docs.select("text").mapInArrow(mapped, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(slots, np.int64)
-    out[found["slot"].to_numpy()] = found["n"].to_numpy()
-    return out
-
-
 def _place_hash(h: np.ndarray, text_key: np.ndarray, place: np.ndarray) -> np.ndarray:
     return mix(h ^ mix(text_key + place.astype(U)))
 
@@ -230,14 +226,14 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 KEYS = "node long, fold long, size int, keys array<long>"
 
 
-def _keyed(counts, repeated, firsts):
+def _keyed(repeated, firsts):
     """The node, parity in 64 bits, size and keys of lines.
 
     A line inside `repeated` gives them where its place is inside `firsts`, so that few lines give them twice.
     """
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(counts.value)
+        sampler = Sampler()
         for batch in batches:
             text_keys = batch["text_key"].to_numpy().view(U)
             for lines in line_slices(batch["text"]):
@@ -247,7 +243,7 @@ def _keyed(counts, repeated, firsts):
                 if not len(some):
                     continue
                 keys = lines.bands(some, sampler).view(np.int64)
-                fold = np.bitwise_xor.reduce(lines.parities()[some], axis=1).view(np.int64)
+                fold = lines.fold()[some].view(np.int64)
                 ends = np.arange(len(some) + 1, dtype=np.int32) * keys.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -283,6 +279,24 @@ def _may_be_alike(x: dict, y: dict, parities: tuple[str, ...], similarity: float
     return (apart <= most) & (turned <= 2 * most - apart)
 
 
+def _buckets(lines: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, node) of the keys that different lines share and that may lead to a pair."""
+    spark = lines.sparkSession
+    with scratch(spark):
+        with scratch(spark):
+            keyed = materialise(lines, "line-keys")
+            # a line has a key once, so a key that occurs twice has two lines, or one that `firsts` let through twice
+            shared = keyed.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            filter_ = worker_broadcast(spark, bitmap(shared.select("bucket"), "bucket", FILTER_BITS))
+            found = materialise(keyed.mapInArrow(_shared(filter_), "bucket long, node long, fold long, size int"), "shared-keys", keep=True)
+        # a bucket of two lines is settled by their parities
+        line = F.struct("node", "fold", "size")
+        ends = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(line).alias("x"), F.max(line).alias("y"))
+        near_two = _may_be_alike(*({c: F.col(f"{e}.{c}") for c in ("fold", "size")} for e in "xy"), ("fold",), similarity)
+        kept = ends.where((F.col("x.node") < F.col("y.node")) & ((F.col("n") > 2) | near_two)).select("bucket")
+        return materialise(found.join(kept, "bucket", "left_semi").select("bucket", "node"), "line-buckets", keep=True)
+
+
 def line_groups(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(occurrences, groups): the line occurrences that were compared; and h, h2, node, root, first of each different line.
 
@@ -297,18 +311,7 @@ def line_groups(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[D
     more = different.where("n > 1").select("h", "first.text_key", "first.place")
     repeated = worker_broadcast(spark, bitmap(more, "h", KEY_BITS))
     firsts = worker_broadcast(spark, bitmap(more.mapInArrow(_firsts, "at long"), "at", KEY_BITS))
-    counts = worker_broadcast(spark, word_counts(docs))
-    keyed = materialise(docs.mapInArrow(_keyed(counts, repeated, firsts), KEYS), "line-keys")
-    # a line has a key once, so a key that occurs twice has two lines, or one that `firsts` let through twice
-    shared = keyed.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    filter_ = worker_broadcast(spark, bitmap(shared.select("bucket"), "bucket", FILTER_BITS))
-    found = materialise(keyed.mapInArrow(_shared(filter_), "bucket long, node long, fold long, size int"), "shared-keys")
-    # a bucket of two lines is settled by their parities
-    line = F.struct("node", "fold", "size")
-    ends = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(line).alias("x"), F.max(line).alias("y"))
-    near_two = _may_be_alike(*({c: F.col(f"{e}.{c}") for c in ("fold", "size")} for e in "xy"), ("fold",), similarity)
-    kept = ends.where((F.col("x.node") < F.col("y.node")) & ((F.col("n") > 2) | near_two)).select("bucket")
-    buckets = materialise(found.join(kept, "bucket", "left_semi").select("bucket", "node"), "line-buckets")
+    buckets = _buckets(docs.mapInArrow(_keyed(repeated, firsts), KEYS), similarity)
     nodes = buckets.select("node").distinct()
     wanted = worker_broadcast(spark, bitmap(nodes, "node", KEY_BITS))
     held = different.join(nodes, "node", "left_semi").select(F.col("first.text_key").alias("text_key"))
@@ -351,7 +354,8 @@ def removals(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def _without(documents: DataFrame) -> DataFrame:
     """documents with _lines, and _kept without the lines lost. Only texts that may lose lines are shuffled."""
     spark = documents.sparkSession
-    lost = materialise(removals(documents), "lost-lines")
+    with scratch(spark):
+        lost = materialise(removals(documents), "lost-lines", keep=True)
     touched = worker_broadcast(spark, bitmap(lost, "text_key", KEY_BITS))
     keyed = documents.withColumn("_key0", F.xxhash64(text_or_empty(documents)))
     inside = keyed.mapInArrow(rows_inside(touched, "_key0"), keyed.schema)
