@@ -9,6 +9,10 @@ main role), the name is a prior only: if the largest sum lies inside such an ele
 taken, an element around such ones has to have over twice their sum, and other named elements need only the
 threshold's density to be kept as well.
 
+Names settle only what says nothing else. An element whose name may also be that of a part of the story (`related-work`, `promo-effects`,
+`discussion`) stays if it is prose: `PROSE` characters outside links, less than a third of all in links, and no furniture inside.
+A form that holds an article or such prose is a wrapper: its controls go, its content stays.
+
 Defined cases: a null or empty html gives an empty text; broken and cut-off markup is read as far as
 it goes; repeated rows are separate rows; an empty table gives an empty result.
 """
@@ -40,7 +44,7 @@ BLOCK = frozenset(
 )
 #: Elements that are never part of an article.
 DROPPED = frozenset(
-    "head script style noscript template nav footer aside form button select textarea input iframe object embed svg canvas dialog menu "
+    "head script style noscript template nav footer aside button select textarea input iframe object embed svg canvas dialog menu "
     "audio video map noembed noframes title".split()
 )
 #: A start tag of the key ends an open element of the value, up to the nearest barrier.
@@ -65,45 +69,92 @@ AMBIGUOUS = frozenset("search share social related notice notices respond reply
 #: for which these say nothing.
 PLAIN = frozenset("bar block box btn button buttons container content div entries entry form group icons inner item items link links list main more nav news "
                   "panel post posts row section stories story title top bottom left right wrap wrapper article articles area page site".split())
+#: Words that count only for what is not prose, in a name that says something else too.
+DOUBTFUL = AMBIGUOUS | frozenset("promo promos login signup overlay modal popup dialog subscription consent recommended disclaimer".split())
+#: These may name a part of a story by themselves; the second one inside an article only.
+SECTIONS = ("discussion", "disclaimer")
+#: Characters outside links from which a block is prose.
+PROSE = 80
 NEGATED = frozenset(["no", "not", "has", "with", "without"])
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class Node:
-    __slots__ = ("chars", "children", "density", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
+    __slots__ = ("chars", "children", "density", "doubtful", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
+        #: Furniture by name, unless it is prose.
+        self.doubtful = False
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
-def _names(attributes: dict[str, str], inside: bool) -> set[str]:
-    out: set[str] = set()
+def _names(attributes: dict[str, str], inside: bool) -> tuple[set[str], set[str]]:
+    """Words of an element's names; and those that may stand for a part of the story."""
+    sure: set[str] = set()
+    doubtful: set[str] = set()
     for name in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).split():
         words = {w.lower() for w in WORD.findall(name)}
-        if inside and any(not w.isdigit() for w in words - FURNITURE - PLAIN):
-            words -= AMBIGUOUS  # related-work is part of a story, related-posts is not
-        if not NEGATED.intersection(words):  # with-sidebar says what stands beside an element
-            out |= words
-    return out
-
-
-def _is_furniture(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+        if NEGATED.intersection(words):  # with-sidebar says what stands beside an element
+            continue
+        if any(not w.isdigit() for w in words - FURNITURE - PLAIN):
+            if inside:
+                words -= AMBIGUOUS  # related-work is part of a story, related-posts is not
+            doubtful |= words & DOUBTFUL
+            words -= DOUBTFUL
+        elif len(words) == 1 and words & set(SECTIONS[: 1 + inside]):
+            doubtful |= words
+            words = set()
+        sure |= words
+    return sure, doubtful
+
+
+def _furniture(tag: str, attributes: dict[str, str], inside: bool) -> bool | None:
+    """Whether an element is furniture; None if that depends on its content."""
     if tag in DROPPED or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
         return True
     if tag in ("body", "html", "article", "main"):
         return False
-    names = _names(attributes, inside)
-    if (tag == "header" or names & HEADER) and not inside:
+    sure, doubtful = _names(attributes, inside)
+    if (tag == "header" or sure & HEADER) and not inside:
         return True
-    return bool(names & FURNITURE - (HEADER if inside else frozenset()))
+    if sure & FURNITURE - (HEADER if inside else frozenset()):
+        return True
+    return None if doubtful or tag == "form" else False
+
+
+def settle(root: Node, broken: set[int]) -> None:
+    """Drop doubtful elements that are not prose; broken: those with furniture inside. A form stays with an article in it too."""
+    order = list(_nodes(root))
+    found: dict[int, tuple[int, int, bool]] = {}
+    linked = {id(n) for n in order if n.tag == "a"}
+    for node in order:
+        if node.parent is not None and id(node.parent) in linked:
+            linked.add(id(node))
+    for node in reversed(order):
+        plain = links = 0
+        story = node.tag in ("article", "main")
+        kept = []
+        for c in node.children:
+            if isinstance(c, str):
+                n = len(" ".join(c.split()))
+                plain, links = (plain, links + n) if id(node) in linked else (plain + n, links)
+            else:
+                p, x, y = found.pop(id(c))
+                form = c.tag == "form"
+                if c.doubtful and not (form and y) and (p < PROSE or 2 * x > p or (not form and id(c) in broken)):
+                    continue
+                plain, links, story = plain + p, links + x, story or y
+            kept.append(c)
+        node.children = kept
+        found[id(node)] = plain, links, story
 
 
 def parse(page: str) -> Node:
@@ -111,6 +162,7 @@ def parse(page: str) -> Node:
     root = Node("html", None)
     open_, skipping, depth, at = [root], None, 0, 0
     mains: list[bool] = [False]
+    broken: set[int] = set()
 
     def text(part: str) -> None:
         if part and skipping is None:
@@ -123,6 +175,7 @@ def parse(page: str) -> Node:
         found = TOKEN.search(page, at)
         text(page[at : found.start() if found else len(page)])
         if found is None:
+            settle(root, broken)
             return root
         at = found.end()
         if found[2] is None:
@@ -167,7 +220,10 @@ def parse(page: str) -> Node:
             if tag not in DROPPED:
                 open_[-1].children.append(Node(tag, open_[-1]))
             continue
-        if _is_furniture(tag, attributes, mains[-1]):
+        furniture = _furniture(tag, attributes, mains[-1])
+        if furniture:
+            if tag not in DROPPED:
+                broken |= {id(n) for n in open_ if n.doubtful}
             if tag in RAW:
                 stop = re.compile(f"</{re.escape(tag)}[^>]*(?:>|$)", re.IGNORECASE).search(page, at)
                 at = stop.end() if stop else len(page)
@@ -175,6 +231,7 @@ def parse(page: str) -> Node:
                 skipping, depth = tag, 1
             continue
         node = Node(tag, open_[-1])
+        node.doubtful = furniture is None
         open_[-1].children.append(node)
         open_.append(node)
         mains.append(mains[-1] or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article"))
