@@ -70,16 +70,32 @@ def source_pages(sources: DataFrame) -> DataFrame:
     return sources.withColumn("first", start + 1).withColumn("last", start + F.col("pages"))
 
 
+def book_pages(counts: DataFrame) -> DataFrame:
+    """(book, page): pages 1 to n of each book (book, n). Books are dealt out by blocks of pages, so a long one is not a single task's."""
+    held = counts.where("n > 0").select("book", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / DEALT))).alias("_block"))
+    first = F.col("_block") * DEALT + 1
+    return held.repartition("book", "_block").select("book", F.explode(F.sequence(first, F.least(first + (DEALT - 1), F.col("n").cast("long")))).alias("page"))
+
+
 def source_of(pages: DataFrame, sources: DataFrame) -> DataFrame:
-    """(book, page, pdf, index): the source file of each page and the page's index in it, from 0."""
-    placed = source_pages(sources).select("book", "pdf", "first", "last")
+    """(book, page, pdf, index): the source file of each page and the page's index in it, from 0.
+
+    Sources meet pages by small blocks of pages, so a page sees the few files around it. The join is a merge join by its hint: what is made
+    of a few rows by listing pages must not pass for a small table, which Spark would send to the driver.
+    """
+    block = lambda c: F.floor(F.col(c) / NEAR)
+    some = source_pages(sources).where("first <= last")
+    placed = some.select("book", "pdf", "first", "last", F.explode(F.sequence(block("first"), block("last"))).alias("_block"))
     return (
-        pages.join(placed, "book")
+        pages.withColumn("_block", block("page"))
+        .join(placed.hint("merge"), ["book", "_block"])
         .where(F.col("page").between(F.col("first"), F.col("last")))
         .select("book", "page", "pdf", (F.col("page") - F.col("first")).alias("index"))
     )
 
 
+#: Pages of a block by which source files meet pages, and of one that a task lists at once.
+NEAR, DEALT = 64, 1 << 14
 #: Pages of a block by which intervals meet pages.
 BLOCK = 1024
 

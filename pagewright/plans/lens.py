@@ -123,7 +123,7 @@ WITH s AS (SELECT p_brand AS book, p_partkey AS pdf, cast(p_size AS BIGINT) AS n
 SELECT book, page, pdf, cast(page - (upto - n + 1) AS BIGINT) AS index FROM (SELECT book, pdf, upto, n, cast(unnest(range(cast(upto - n + 1 AS BIGINT), cast(upto + 1 AS BIGINT))) AS BIGINT) AS page FROM s)""")
 def pages_of_sources(spark, sf_dir):
     sources = _read(spark, sf_dir, "part").select(F.col("p_brand").alias("book"), F.col("p_partkey").alias("ord"), F.col("p_partkey").alias("pdf"), F.col("p_size").cast("long").alias("pages"))
-    every = sources.groupBy("book").agg(F.sum("pages").alias("n")).select("book", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("page"))
+    every = ranges.book_pages(sources.groupBy("book").agg(F.sum("pages").alias("n")))
     return ranges.source_of(every, sources).select("book", "pdf", *_long("page", "index"))
 
 
