@@ -408,9 +408,9 @@ tone AS (SELECT book, translate(word, '{text.TONED}', '{text.TONELESS}') AS bare
 SELECT a.book, a.word, a.next, (50 * a.n + least(one.n, 100))::DOUBLE + 0.5::DOUBLE * (tone.n - a.n) AS score
 FROM two a JOIN one ON a.book = one.book AND a.word = one.word JOIN tone ON a.book = tone.book AND a.next = tone.next AND tone.bare = translate(a.word, '{text.TONED}', '{text.TONELESS}') WHERE a.n >= 3""")
 def lexicon_scores(spark, sf_dir):
-    r = page_rows(spark, sf_dir)
-    asked = quality.bigrams(r).where("n >= 3").select("book", "word", "next")
-    return quality.scores(asked, r).select("book", "word", "next", F.col("score").cast("double").alias("score"))
+    lexicon = quality.written(quality.followed(page_rows(spark, sf_dir)))
+    asked = lexicon.where("next is not null and n >= 3").select("book", "word", "next")
+    return quality.scored(asked, lexicon).select("book", "word", "next", F.col("score").cast("double").alias("score"))
 
 
 @_query("""
