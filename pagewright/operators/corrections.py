@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,24 +102,36 @@ def replay_one(blocks: list[str], log: list[dict]) -> tuple[list[str], list[int]
 
 
 def replay(blocks: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(blocks, outcomes): a book's log over its blocks, a book a task; outcomes say which corrections were applied.
+    """(blocks, outcomes): a book's log over its blocks, a book a row; outcomes say which corrections were applied.
 
-    A book is the scope of its log: later corrections see what earlier ones made.
+    A book is the scope of its log: later corrections see what earlier ones made. Only books with a log are gathered.
     """
 
-    def run(key, b: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        lines = b.sort_values("idx")["text"].tolist()
-        new, applied, missed = replay_one(lines, c.sort_values("ord").to_dict("records"))
-        rows = [(key[0], "block", i, t, None) for i, t in enumerate(new)]
-        rows += [(key[0], "outcome", o, None, flag) for flag, some in ((True, applied), (False, missed)) for o in some]
-        return pd.DataFrame(rows, columns=["book", "what", "i", "text", "applied"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for book in batch.to_pylist():
+                lines, log_of = [b["text"] for b in book["blocks"]], [c["entry"] for c in book["log"]]
+                new, applied, missed = replay_one(lines, log_of)
+                rows = [("block", i, t, None) for i, t in enumerate(new)]
+                rows += [("outcome", o, None, flag) for flag, some in ((True, applied), (False, missed)) for o in some]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.bool_()), strict=True)] if rows else None
+                if columns:
+                    yield pa.RecordBatch.from_arrays([pa.array([book["book"]] * len(rows), pa.string()), *columns], ["book", "what", "i", "text", "applied"])
 
     # new names for the columns: both sides may come from one table
-    fresh = lambda df, *names: df.select(*[F.col(c).alias(c) for c in names]).groupBy("book")
-    both = fresh(blocks, "book", "idx", "text").cogroup(fresh(log, "book", "ord", "action", "section", "before", "after"))
-    out = both.applyInPandas(run, "book string, what string, i long, text string, applied boolean")
+    fresh = lambda df, *names: df.select(*[F.col(c).alias(c) for c in names])
+    whole, corrected = fresh(blocks, "book", "idx", "text"), fresh(log, "book", "ord", "action", "section", "before", "after")
+    logged = corrected.select("book").distinct()
+    # a book without corrections only has its blocks numbered anew
+    plain = whole.join(logged, "book", "left_anti").select("book", (F.row_number().over(Window.partitionBy("book").orderBy(F.asc_nulls_last("idx"))) - 1).cast("long").alias("idx"), "text")
+    listed = lambda df, order, value, name: df.groupBy("book").agg(F.array_sort(F.collect_list(F.struct(order, value))).alias(name))
+    per_log = listed(corrected, F.col("ord").alias("at"), F.struct("ord", "action", "section", "before", "after").alias("entry"), "log")
+    per_book = listed(whole.join(logged, "book", "left_semi"), F.col("idx").alias("at"), F.col("text"), "blocks")
+    none = F.expr("cast(array() as array<struct<at: bigint, text: string>>)")
+    both = per_log.join(per_book, "book", "left").select(F.col("book").cast("string").alias("book"), F.coalesce("blocks", none).alias("blocks"), "log")
+    out = both.mapInArrow(run, "book string, what string, i long, text string, applied boolean")
     return (
-        out.where("what = 'block'").select("book", F.col("i").alias("idx"), "text"),
+        plain.select(F.col("book").cast("string").alias("book"), "idx", "text").unionByName(out.where("what = 'block'").select("book", F.col("i").alias("idx"), "text")),
         out.where("what = 'outcome'").select("book", F.col("i").alias("ord"), "applied"),
     )
 
