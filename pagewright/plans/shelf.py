@@ -356,9 +356,9 @@ def rendered_notes(spark, sf_dir):
 WORDS_SQL = f"regexp_extract_all(text, '[A-Za-z0-9{text.MARKED}]+')"
 
 
-def _words(spark, sf_dir):
+def _words(spark, sf_dir, most=None):
     d = _read(spark, sf_dir, "documents").where("text is not null").select(F.col("lang").alias("book"), F.col("doc_id").alias("idx"), "text")
-    return spelling.word_rows(d, "book", "idx")
+    return spelling.word_rows(d, "book", "idx", most=most)
 
 
 @_query(f"""
@@ -373,8 +373,7 @@ WITH d AS (SELECT lang AS book, {WORDS_SQL} AS w FROM documents WHERE text IS NO
 p AS (SELECT book, lower(unnest(w[1:len(w) - 1])) AS a, lower(unnest(w[2:len(w)])) AS z FROM d WHERE len(w) > 1), c AS (SELECT book, a, z, count(*) AS n FROM p GROUP BY ALL)
 SELECT r.book, r.a || ' ' || r.z AS spelling, coalesce(n, 0) AS n FROM r LEFT JOIN c ON r.book = c.book AND lower(r.a) = c.a AND lower(r.z) = c.z""")
 def times_spelled(spark, sf_dir):
-    w = _words(spark, sf_dir)
-    two = w.where("i < 2").groupBy("book", "idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]).alias("words"))
+    two = _words(spark, sf_dir, 2).groupBy("book", "idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]).alias("words"))
     rules = two.where(F.size("words") == 2).select("book", F.array_join("words", " ").alias("spelling"), "words").distinct()
     texts = _read(spark, sf_dir, "documents").where("text is not null").select(F.col("lang").alias("book"), "text")
     return spelling.times_spelled(texts, rules)
