@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import text
 from .ranges import range_labels
 
+#: Master pages of one image that a list holds at most.
+LISTED = 64
 #: Share of a title that a file of another version has to have to be the same work (fixed value).
 WORK_ALIKE = 0.75
 
@@ -22,10 +24,13 @@ def matched_pages(split: DataFrame, masters: DataFrame) -> DataFrame:
     split: file, page, hashes, coords. masters: book, page, ord, hashes, coords; ord decides ties. A page without hashes,
     or whose hashes no master page has, stays with nulls.
     """
-    known = masters.where(F.size("hashes") > 0).select("hashes", F.col("book"), F.col("page").alias("master_page"), "ord", F.col("coords").alias("_coords"))
-    met = split.where(F.size("hashes") > 0).join(known, "hashes")
-    shared = F.size(F.array_intersect("coords", "_coords"))
-    best = met.groupBy("file", "page").agg(F.max_by(F.struct("book", "master_page"), F.struct(shared, -F.col("ord"))).alias("_m"))
+    place = Window.partitionBy("hashes").orderBy("ord", "book", "page")
+    known = masters.where(F.size("hashes") > 0).withColumn("_at", F.floor((F.row_number().over(place) - 1) / LISTED))
+    lists = known.groupBy("hashes", "_at").agg(F.collect_list(F.struct(F.col("coords").alias("coords"), F.col("ord"), F.col("book"), F.col("page").alias("master_page"))).alias("_known"))
+    # split pages meet lists of masters, so a row is made for each list and not for each master
+    rank = lambda m: F.struct(F.size(F.array_intersect("coords", m["coords"])).alias("shared"), (-m["ord"]).alias("ord"), m["book"].alias("book"), m["master_page"].alias("master_page"))
+    met = split.where(F.size("hashes") > 0).join(lists, "hashes").select("file", "page", F.array_max(F.transform("_known", rank)).alias("_b"))
+    best = met.groupBy("file", "page").agg(F.max_by(F.struct("_b.book", "_b.master_page"), F.struct("_b.shared", "_b.ord")).alias("_m"))
     return split.select("file", "page").join(best, ["file", "page"], "left").select("file", "page", "_m.book", "_m.master_page")
 
 
