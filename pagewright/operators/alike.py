@@ -9,19 +9,16 @@ ends), one got breaks one: at least 3 L - n - m + 1 bigrams are the same. From t
 - a position filter: a bigram that either string has once has moved by what was lost or got before it at most;
 - a rest filter: what stands behind a meeting bigram in both orders must make up the number.
 
-Pairs that pass are looked at once: their bigrams are compared, then their longest common subsequence is measured, and the ratio is worked out for what is left. No pair is dropped that
+Pairs that pass are looked at once: their characters are compared, then their longest common subsequence is measured, and the ratio is worked out for what is left. No pair is dropped that
 reaches the threshold. Lower thresholds index single characters, of which L are the same.
 """
 
 from __future__ import annotations
 
 import difflib
-import functools
-import math
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,14 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions import subsequence
+
 #: From this threshold on bigrams leave something in common.
 BIGRAMS_FROM = 2 / 3 + 1e-6
 #: Guards sums of decimal fractions against rounding.
 EPS = 1e-9
 #: Grams of an Arrow batch.
 BATCH_GRAMS = 1 << 16
-#: Bits of a key's grams when a pair is looked at.
-GRAM_BITS = 1 << 12
 
 
 def grams_of(key: str, width: int) -> list[str]:
@@ -72,60 +69,23 @@ def _listed(width: int, held: list[str], schema: pa.Schema):
     return mapped
 
 
-class Known:
-    """What is looked up of a key: a bit for each gram (and how often it came before), and where its characters stand."""
-
-    __slots__ = ("bits", "full", "n_bits", "n_grams", "places")
-
-    def __init__(self, key: str, width: int):
-        seen: Counter = Counter()
-        bits, places = bytearray(GRAM_BITS // 8), {}
-        for g in grams_of(key, width):
-            at = zlib.crc32(f"{g}{seen[g]}".encode("utf-8", "surrogatepass")) % GRAM_BITS
-            bits[at >> 3] |= 1 << (at & 7)
-            seen[g] += 1
-        for i, c in enumerate(key):
-            places[c] = places.get(c, 0) | 1 << i
-        self.bits, self.places, self.full = int.from_bytes(bits, "little"), places, (1 << len(key)) - 1
-        self.n_bits, self.n_grams = self.bits.bit_count(), seen.total()
-
-
-@functools.lru_cache(1 << 14)
-def _known(key: str, width: int) -> Known:
-    return Known(key, width)
-
-
-def common_characters(a: Known, b: str) -> int:
-    """Length of the longest common subsequence, a bit a character of the first string."""
-    free, places = a.full, a.places
-    for c in b:
-        met = free & places.get(c, 0)
-        free = (free + met) | (free - met)
-    return (~free & a.full).bit_count()
-
-
 def ratio_from(threshold: float):
     """The ratio of two strings, or 0 where a bound says that it stays below the threshold."""
-    width = 2 if threshold >= BIGRAMS_FROM else 1
 
     @F.pandas_udf("double")
     def score(keys: pd.Series, others: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(keys, others, strict=True):
-            if a is None or b is None or a == b:
-                out.append(None if a is None or b is None else 1.0)
-                continue
-            total = len(a) + len(b)
-            matched = math.ceil(total * threshold / 2 - EPS)
-            least = 3 * matched - total + 1 if width == 2 else matched
-            mine, theirs = _known(a, width), _known(b, width)
-            both = (mine.bits & theirs.bits).bit_count()
-            # each bit that only one has stands for a gram of its own
-            may = min(mine.n_grams - mine.n_bits, theirs.n_grams - theirs.n_bits) + both >= least and common_characters(mine, b) >= matched
-            out.append(difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() if may else 0.0)
-        return pd.Series(out, dtype="float64")
-
-    return score
+        known = (keys.notna() & others.notna()).to_numpy()
+        out = np.where(known, 0.0, np.nan)
+        some = np.flatnonzero(known)
+        left, mine = pd.factorize(keys.to_numpy(object)[some])
+        right, theirs = pd.factorize(others.to_numpy(object)[some])
+        for at in subsequence.near(list(mine), list(theirs), left, right, threshold):
+            a, b = mine[left[at]], theirs[right[at]]
+            out[some[at]] = 1.0 if a == b else difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+        return pd.Series([None if np.isnan(x) else x for x in out], dtype="float64")
+
+    # a filter on the score would otherwise move below its projection and have it worked out twice
+    return score.asNondeterministic()
 
 
 def _least_common(total: Column, threshold: float, bigrams: bool) -> Column:
