@@ -59,7 +59,7 @@ def located_entries(spark, sf_dir):
     every = Window.partitionBy("book").orderBy("page")
     numbered = rows.where("row = 0").withColumn("ord", F.row_number().over(every))
     segments = rows.join(numbered.select("book", "page", F.col("ord").alias("pdf")), ["book", "page"])
-    segments = segments.select("book", F.col("pdf").alias("page"), F.col("row").alias("seq"), F.when(F.col("row") == 0, "heading").otherwise("paragraph").alias("kind"), "text").where("seq < 4 or kind = 'heading'")
+    segments = segments.select("book", F.col("pdf").alias("page"), F.col("row").alias("seq"), F.when(F.col("row") == 0, "heading").otherwise("paragraph").alias("kind"), "text")
     entries = numbered.where("ord % 5 = 0").select("book", F.col("ord").cast("long").alias("ord"), (F.col("ord") % 3 + 1).cast("int").alias("level"), F.col("text").alias("title"), F.when(F.col("ord") % 15 == 0, F.col("ord")).alias("pdf_page"))
     return locating.located(entries, segments).select("book", "ord", *_long("page", "seq"), "located")
 
