@@ -107,7 +107,8 @@ def by_marker(entries: DataFrame, segments: DataFrame) -> DataFrame:
     around = entries.withColumn("_before", _next(F.col("place"), up)).withColumn("_behind", _next(F.col("place"), down)).withColumn("marker", marker(F.col("title")))
     nth = F.row_number().over(Window.partitionBy("book", "marker", "_before", "_behind").orderBy("ord"))
     asked = around.where("place is null and marker <> ''").withColumn("_nth", nth).select("book", "ord", "marker", "_before", "_behind", "_nth")
-    rows = segments.where(F.size(text.words(F.col("text"))) <= FEW_WORDS).withColumn("marker", marker(F.col("text"))).where("marker <> ''").select("book", "marker", "page", "seq")
+    # words are counted of the rows with a marker only
+    rows = segments.withColumn("marker", marker(F.col("text"))).where("marker <> ''").where(F.size(text.words(F.col("text"))) <= FEW_WORDS).select("book", "marker", "page", "seq")
     spot = F.struct(F.col("page").cast("int").alias("page"), F.col("seq").cast("int").alias("seq"))
     met = asked.join(rows, ["book", "marker"]).where((F.col("_before").isNull() | (spot > F.col("_before"))) & (F.col("_behind").isNull() | (spot < F.col("_behind"))))
     place = F.get(F.sort_array(F.collect_list(spot)), F.first("_nth") - 1)
